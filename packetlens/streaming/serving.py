@@ -3,15 +3,16 @@
 A batch of changes is written to a folder named after its epoch, and never anywhere else,
 so applying an epoch again replaces its own earlier write and cannot count twice. Writing
 reads nothing. A read folds the changes per key: "replace" keeps the newest row, "add" sums
-the values. ``compact`` folds old epochs into one snapshot and keeps reads short.
-One writer per table.
+the values, and "append" has nothing to fold because no key comes twice. ``compact`` folds
+old epochs into one snapshot and keeps reads short. A table has one writer, whose checkpoint
+goes with it: start a writer without its checkpoint only on a table newly created.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -21,6 +22,8 @@ class Table:
     keys: dict[str, str]
     values: dict[str, str] = field(default_factory=dict)
     upsert: str = "replace"
+    # A key column that numbers the pieces of one long row; pieces are replaced together.
+    piece: str | None = None
 
     @property
     def columns(self) -> dict[str, str]:
@@ -46,7 +49,7 @@ SERVING = {
             "add",
         ),
         Table("nameservers", {"address": "string"},
-              {"packets_sent": _COUNT, "packets_received": _COUNT}, "add"),
+              {"packets_sent": _COUNT, "packets_received": _COUNT}),
         Table("searched_categories", {"category": "string"}, {"requests": _COUNT}, "add"),
         Table("message_types", {"type": "string"}, {"packets": _COUNT}, "add"),
         # One row per message; conversations are put together when read.
@@ -54,11 +57,13 @@ SERVING = {
             "conversation_messages",
             {"query_id": "string", "client": "string", "server": "string", "seq": "bigint"},
             {"ts": "timestamp", "message": "string"},
+            "append",
         ),
         Table(
             "conversations",
             {"query_id": "string", "client": "string", "server": "string", "part": "bigint"},
             {"n_messages": _COUNT, "messages": "array<string>"},
+            piece="part",
         ),
         Table("domain_requests_and_responses", {"request_response": "string", "type": "string"},
               {"requests": _COUNT}, "add"),
@@ -72,7 +77,7 @@ SERVING = {
         Table("hosts", {"host": "string"}),
         Table("requests_responses_uniquehosts",
               {"type": "string", "request_response": "string", "part": "bigint"},
-              {"count": _COUNT, "hosts": "array<string>"}),
+              {"count": _COUNT, "hosts": "array<string>"}, piece="part"),
         Table("total_avg_bytes", {"address_a": "string", "address_b": "string"},
               {"total": _COUNT, "avg": "double", "count": _COUNT}),
     )
@@ -122,15 +127,15 @@ class Serving:
         shaped.hint("rebalance").write.mode("overwrite").parquet(path)
 
     def next_epoch(self, table: Table) -> int:
+        """For a batch job, which has no epoch of its own."""
         taken = _numbered_folders(self.spark, self._changes(table), "epoch")
-        taken += _numbered_folders(self.spark, self._snapshots(table), "upto")
         return max(taken, default=-1) + 1
 
     def create(self, table: Table) -> None:
-        """An empty table; rows of an earlier one are no longer seen."""
+        """Make the table exist and empty."""
         empty = self.spark.createDataFrame([], table.schema)
-        upto = self.next_epoch(table)
-        empty.write.mode("overwrite").parquet(f"{self._snapshots(table)}/upto={upto}")
+        for path in (self._snapshots(table), self._changes(table)):
+            empty.write.mode("overwrite").parquet(path)
 
     def read(self, table: Table, upto: int | None = None) -> DataFrame:
         """Current rows. A filter on key columns reaches the parquet scan."""
@@ -177,10 +182,24 @@ class Serving:
 
 
 def _fold(table: Table, rows: DataFrame) -> DataFrame:
+    if table.upsert == "append":
+        return rows.drop("epoch")
     grouped = rows.groupBy(*table.keys)
     if table.upsert == "add":
         return grouped.agg(*[F.sum(v).alias(v) for v in table.values])
     if not table.values:
         return rows.select(*table.keys).distinct()
+    if table.piece:
+        return _newest_pieces(table, rows)
     newest = grouped.agg(F.max_by(F.struct(*table.values), "epoch").alias("v"))
     return newest.select(*table.keys, "v.*")
+
+
+def _newest_pieces(table: Table, rows: DataFrame) -> DataFrame:
+    """The pieces of each row's newest epoch. The newest epoch is found among keys alone;
+    the long rows are then met piece by piece, so those of one key stay spread."""
+    whole = [k for k in table.keys if k != table.piece]
+    latest = F.max("epoch").over(Window.partitionBy(*whole))
+    keys = rows.select(*table.keys, "epoch").withColumn("latest", latest)
+    keep = keys.where(F.col("epoch") == F.col("latest")).drop("latest")
+    return rows.join(keep, [*table.keys, "epoch"]).drop("epoch")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from packetlens.functions.text import strip, tokens
+from packetlens.functions.text import strip
 
 # Fixed values that decide results.
 VERBS = ("Standard", "Dynamic", "Zone", "Server", "Inverse", "DNS")
@@ -28,62 +28,60 @@ CATEGORIES = {
 }
 
 
-def word(text: Column, i: int) -> Column:
-    """Token ``i`` of a text, null beyond its end."""
-    return F.get(tokens(text), F.lit(i))
+def verb(info: Column) -> Column:
+    """The first token."""
+    return F.substring_index(info, " ", 1)
 
 
-def verb(info: Column) -> Column:
-    return word(info, 0)
+def two_words(info: Column) -> Column:
+    """The first two tokens, or the only one."""
+    return F.substring_index(info, " ", 2)
 
 
 def is_standard(info: Column) -> Column:
     return verb(info) == "Standard"
 
 
-def two_words(info: Column) -> Column:
-    return F.concat_ws(" ", word(info, 0), word(info, 1))
-
-
 def message_type(info: Column) -> Column:
     return F.when(verb(info).isin(*VERBS), two_words(info)).otherwise(F.lit(ERROR_TYPE))
 
 
-def is_query(info: Column) -> Column:
+# The functions below take the tokens of a text, an array column.
+
+
+def word(words: Column, i: int) -> Column:
+    """Token ``i``, null beyond the end."""
+    return F.get(words, F.lit(i))
+
+
+def is_query(words: Column) -> Column:
     """True for a query, false for a response, null where the text is too short to tell
     or the verb has no direction."""
-    marker = F.when(verb(info).isin("Standard", "Inverse"), word(info, 2)).when(
-        verb(info) == "DNS", word(info, 4)
+    marker = F.when(word(words, 0).isin("Standard", "Inverse"), word(words, 2)).when(
+        word(words, 0) == "DNS", word(words, 4)
     )
     return marker != "response"
 
 
-def query_domain(info: Column) -> Column:
+def query_domain(words: Column) -> Column:
     """The last two labels of the last token, or its only label."""
-    return F.substring_index(strip(F.element_at(tokens(info), -1)), ".", -2)
-
+    return F.substring_index(strip(F.element_at(words, -1)), ".", -2)
 
-def resource_records(info: Column) -> Column:
-    """An array of (type, name) for every CNAME or NS token and the token after it.
 
-    A record token follows the verb and precedes its name, so the two substring tests
-    find every text worth splitting and spare all others the array work.
-    """
-    words = tokens(info)
+def resource_records(words: Column) -> Column:
+    """An array of (type, name) for every CNAME or NS token and the token after it."""
     pairs = F.transform(
         words, lambda w, i: F.struct(w.alias("type"), F.get(words, i + 1).alias("name"))
     )
     found = F.filter(pairs, lambda p: p["type"].isin(*RECORD_TYPES) & p["name"].isNotNull())
-    worth = reduce(lambda a, b: a | b, [info.contains(f" {t} ") for t in RECORD_TYPES])
-    return F.when(worth, found)
+    return F.when(F.arrays_overlap(words, F.array(*map(F.lit, RECORD_TYPES))), found)
 
 
-def named_records(info: Column) -> Column:
+def named_records(words: Column) -> Column:
     """For a Standard packet: ("A", domain) of a query, the records of a response."""
-    text = strip(info)
-    query = word(text, 2) != "response"
-    asked = F.array(F.struct(F.lit("A").alias("type"), query_domain(text).alias("name")))
-    return F.when(query, asked).when(~query, resource_records(text))
+    query = word(words, 2) != "response"
+    asked = F.array(F.struct(F.lit("A").alias("type"), query_domain(words).alias("name")))
+    return F.when(query, asked).when(~query, resource_records(words))
 
 
 def category(name: Column) -> Column:

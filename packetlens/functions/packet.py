@@ -5,28 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetlens.functions.text import strip
+from packetlens.functions.text import computed_once, strip
 
 FIELDS = ("src", "dst", "protocol", "length", "info")
 
 
-def parse_packets(lines: DataFrame, message: Column | None = None) -> DataFrame:
+def parse_packets(lines: DataFrame) -> DataFrame:
     """``message`` text plus any other columns -> the same columns and the five fields.
 
     Fields are positional and a field the line lacks is null, so a malformed line costs
     only itself. An info text that holds a comma ends at that comma. A length that is not
     a whole number is null.
     """
-    raw = F.col("message") if message is None else message
-    split = lines.withColumn("message", raw).withColumn("f", F.split(strip(F.col("message")), ","))
-    return split.select(
-        *[c for c in split.columns if c != "f"],
-        F.get("f", F.lit(0)).alias("src"),
-        F.get("f", F.lit(1)).alias("dst"),
-        F.get("f", F.lit(2)).alias("protocol"),
-        F.get("f", F.lit(3)).try_cast("bigint").alias("length"),
-        F.get("f", F.lit(4)).alias("info"),
-    )
+    lines = lines.withColumn("f", F.split(strip(F.col("message")), ","))
+    fields = {name: F.get("f", F.lit(i)) for i, name in enumerate(FIELDS)}
+    fields["length"] = fields["length"].try_cast("bigint")
+    return computed_once(lines, **fields).drop("f")
 
 
 def is_dns() -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The code points of every character ``str.strip`` removes.
@@ -19,3 +19,13 @@ def strip(text: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Split on single spaces, keeping empty tokens."""
     return F.split(text, " ")
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions run once per row.
+
+    A filter on a plain computed column is pushed below it and repeats its expression, which
+    for string splitting costs more than the rows it saves. Generated columns stay put.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))

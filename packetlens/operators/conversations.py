@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetlens.functions import info as I
+from packetlens.functions.text import computed_once, tokens
 from packetlens.operators.names import standard
 from packetlens.operators.spread import span_of, with_group_size
 
@@ -16,11 +17,15 @@ SPAN = 65536
 
 def messages(packets: DataFrame, *keep: str) -> DataFrame:
     """Each Standard packet under its conversation: a response swaps the endpoints."""
-    info, src, dst = F.col("info"), F.col("src"), F.col("dst")
-    query = I.is_query(info)
-    rows = standard(packets).where(query.isNotNull()).select(
+    info, src, dst, words = F.col("info"), F.col("src"), F.col("dst"), F.col("words")
+    split = computed_once(
+        standard(packets).select(*keep, "src", "dst", "info"), words=tokens(info)
+    )
+    query = I.is_query(words)
+    id_at = F.when(query, 2).when(~query, 3)
+    rows = split.select(
         *keep,
-        F.when(query, I.word(info, 2)).otherwise(I.word(info, 3)).alias("query_id"),
+        F.get(words, id_at).alias("query_id"),
         F.when(query, src).otherwise(dst).alias("client"),
         F.when(query, dst).otherwise(src).alias("server"),
         F.concat(info, F.lit(" src: "), src, F.lit(" dest: "), dst).alias("message"),

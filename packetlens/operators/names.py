@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packetlens.functions import info as I
 from packetlens.functions.packet import is_dns
-from packetlens.functions.text import strip
+from packetlens.functions.text import computed_once, strip, tokens
 from packetlens.operators.spread import with_group_size
 
 # Hosts of one name are cut into this many hash buckets when lists are asked for.
@@ -17,23 +17,27 @@ LIST_LENGTH = 65536
 
 
 def standard(packets: DataFrame) -> DataFrame:
+    """Packets of any protocol whose verb is Standard."""
     return packets.where(I.is_standard(F.col("info")))
 
 
+def _tokenised(packets: DataFrame, *keep: str) -> DataFrame:
+    rows = standard(packets).select(*keep, "info")
+    return computed_once(rows, words=tokens(strip(F.col("info"))))
+
+
 def name_records(packets: DataFrame, *keep: str) -> DataFrame:
-    """One (type, request_response) row per query and per record of a response, from
-    packets of any protocol whose verb is Standard, with the columns in ``keep``."""
-    found = standard(packets).select(*keep, F.explode(I.named_records(F.col("info"))).alias("r"))
-    return found.select(
-        *keep, F.col("r.type").alias("type"), F.col("r.name").alias("request_response")
-    )
+    """One (type, request_response) row per Standard query and per record of a Standard
+    response, with the columns in ``keep``."""
+    rows = _tokenised(packets, *keep)
+    found = rows.select(*keep, F.inline(I.named_records(F.col("words"))))
+    return found.withColumnRenamed("name", "request_response")
 
 
 def query_domains(packets: DataFrame, *keep: str) -> DataFrame:
     """The registered domain of every Standard query."""
-    text = strip(F.col("info"))
-    queries = standard(packets).where(I.word(text, 2) != "response")
-    return queries.select(*keep, I.query_domain(text).alias("domain"))
+    queries = _tokenised(packets, *keep).where(I.word(F.col("words"), 2) != "response")
+    return queries.select(*keep, I.query_domain(F.col("words")).alias("domain"))
 
 
 def response_records(packets: DataFrame, *keep: str) -> DataFrame:

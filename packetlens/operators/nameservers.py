@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetlens.functions import info as I
+from packetlens.functions.text import computed_once, tokens
 
 # What a packet says about an address, as counts that add up over any split of the data.
 EVIDENCE = ("known_sent", "known_received", "possible_sent", "possible_received", "certain")
@@ -27,8 +28,8 @@ def evidence(packets: DataFrame, branches: tuple[str, ...] = BRANCHES) -> DataFr
     Dynamic or Zone packet are nameservers. status: the source of a Server status response
     is one, else the destination.
     """
-    info = F.col("info")
-    verb, query = I.verb(info), I.is_query(info)
+    info, words = F.col("info"), F.col("words")
+    verb, query = I.word(words, 0), I.is_query(words)
     cases = {
         "queries": [
             (query, F.array(_says("dst", known_received=1, certain=1),
@@ -49,7 +50,8 @@ def evidence(packets: DataFrame, branches: tuple[str, ...] = BRANCHES) -> DataFr
     said = F.when(*chosen[0])
     for condition, value in chosen[1:]:
         said = said.when(condition, value)
-    rows = packets.select(F.explode(said).alias("e")).select("e.*")
+    split = computed_once(packets.select("src", "dst", "info"), words=tokens(info))
+    rows = split.select(F.inline(said))
     return rows.groupBy("address").agg(*[F.sum(name).alias(name) for name in EVIDENCE])
 
 

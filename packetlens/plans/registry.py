@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from packetlens.functions import envelope
 from packetlens.functions import info as I
 from packetlens.functions.packet import FIELDS, parse_packets
+from packetlens.functions.text import tokens
 from packetlens.operators import (
     chunks, conversations, hosts, messages, names, nameservers, pairs, windows,
 )
@@ -62,7 +63,7 @@ def parse_slice_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_direction(packets: DataFrame) -> DataFrame:
-    query = I.is_query(F.col("info"))
+    query = I.is_query(tokens(F.col("info")))
     return packets.where(query.isNotNull()).select(
         "seq", F.when(query, "query").otherwise("response").alias("direction")
     )

@@ -10,7 +10,8 @@ from packetlens.functions.packet import is_dns
 from packetlens.functions.text import computed_once, strip, tokens
 from packetlens.operators.spread import with_group_size
 
-# Hosts of one name are cut into this many hash buckets when lists are asked for.
+# Hosts of one name are cut into this many hash buckets, a power of two, when lists are
+# asked for.
 HOST_BUCKETS = 65536
 # A host list longer than this continues in further parts.
 LIST_LENGTH = 65536
@@ -87,7 +88,7 @@ def host_lists(
     """
     keys = ["type", "request_response"]
     pairs = host_pairs(packets, dns_only).withColumn(
-        "bucket", F.pmod(F.xxhash64("host"), F.lit(HOST_BUCKETS))
+        "bucket", F.xxhash64("host").bitwiseAND(F.lit(HOST_BUCKETS - 1))
     )
     sized = with_group_size(pairs, keys, "bucket")
     parts = F.ceil(F.col("n_group") / F.lit(length))

@@ -175,10 +175,7 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     capture.write_chunks(capture.read_captures(spark, f"{root}/captures/*"), f"{root}/chunks")
     lines = capture.watch_lines(spark, f"{root}/chunks")
     jobs.run_available(
-        topic.publish_columns(lines)
-        .writeStream.format("parquet")
-        .option("path", f"{root}/topic")
-        .option("checkpointLocation", f"{root}/checkpoint")
+        topic.topic_writer(lines, f"{root}/checkpoint", "parquet", path=f"{root}/topic")
     )
     records = spark.read.parquet(f"{root}/topic")
     return parse_packets(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from packetlens.functions.envelope import stream_message, to_stream
 from packetlens.functions.packet import parse_packets
@@ -36,6 +37,24 @@ def publish_columns(lines: DataFrame) -> DataFrame:
     )
 
 
+def topic_writer(
+    lines: DataFrame, checkpoint: str, fmt: str = "kafka", **options: str
+) -> DataStreamWriter:
+    """Publish a stream of packet lines. Options go to the sink: for kafka at least
+    ``kafka.bootstrap.servers``, for files ``path``."""
+    if fmt == "kafka":
+        options = {"topic": TOPIC, **options}
+        records = publish_columns(lines.select("message"))
+    else:
+        records = publish_columns(lines)
+    return (
+        records.writeStream.format(fmt)
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+
+
 def topic_packets(topic: DataFrame) -> DataFrame:
     """Packets with ``ts`` and a unique ``seq`` made from partition and offset."""
     lines = topic.select(

@@ -121,10 +121,12 @@ class Serving:
         return f"{self.root}/{table.name}/snapshots"
 
     def apply(self, table: Table, changes: DataFrame, epoch: int) -> None:
-        """Write one epoch. ``rebalance`` sizes the files from what the batch holds."""
-        shaped = changes.select(*[F.col(c).cast(t) for c, t in table.columns.items()])
-        path = f"{self._changes(table)}/epoch={epoch}"
-        shaped.hint("rebalance").write.mode("overwrite").parquet(path)
+        """Write one epoch. Aggregated changes may be few rows in many partitions, which
+        ``rebalance`` gathers into files of a good size; appended rows go out as they are."""
+        shaped = changes.select(*[F.col(c).cast(t).alias(c) for c, t in table.columns.items()])
+        if table.upsert != "append":
+            shaped = shaped.hint("rebalance")
+        shaped.write.mode("overwrite").parquet(f"{self._changes(table)}/epoch={epoch}")
 
     def next_epoch(self, table: Table) -> int:
         """For a batch job, which has no epoch of its own."""

@@ -78,18 +78,26 @@ DUCKDB_TEXT = _TEMPLATE.format(
 TOPIC_PARTITIONS = 4
 
 
+def from_events(events: DataFrame) -> DataFrame:
+    """Packets for any table with a unique ``event_id`` and a ``ts``."""
+    return events.sparkSession.sql(SPARK_TEXT, events=events)
+
+
 def typed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.sql(SPARK_TEXT, events=events)
+    return from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def packet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def joined(typed: DataFrame) -> DataFrame:
     """seq, ts and the comma-joined packet line."""
-    return typed_packets(spark, sf_dir).select(
+    return typed.select(
         "seq", "ts", F.concat_ws(",", "src", "dst", "protocol", "length", "info").alias("message")
     )
 
 
+def packet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined(typed_packets(spark, sf_dir))
+
+
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq, ts and the archive record as text."""
     lines = packet_lines(spark, sf_dir)

@@ -9,70 +9,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetlens.functions.envelope import ARCHIVE_SCHEMA, archive_message, to_archive, to_stream
+from packetlens.functions.envelope import archive_message, to_archive, to_stream
 from packetlens.functions.packet import parse_packets
-
-_TEMPLATE = """
-WITH e AS (SELECT event_id, ts, {idiv} AS p FROM {events}),
-b AS (SELECT event_id, ts, p, CAST(p % 23 AS INT) AS c, CAST(p % 5 AS INT) AS n,
-  CAST(p % 9 AS INT) AS d,
-  CASE WHEN p % 20 IN (11, 12) AND p % 23 >= 12 THEN 0 ELSE CAST(p % 20 AS INT) END AS kind,
-  CASE WHEN p % 23 >= 20 THEN 0 WHEN p % 23 = 19 THEN 1 WHEN p % 13 = 0 THEN 0
-       ELSE CAST(event_id % 2 AS INT) END AS is_resp,
-  CASE WHEN p % 13 = 0 OR p % 23 >= 19 THEN p ELSE event_id END AS x,
-  concat('0x', {hex4}) AS qid FROM e),
-a AS (SELECT *,
-  CASE WHEN p % 11 = 0 THEN '10.0.53.2'
-       WHEN c % 2 = 0 THEN concat('9.9.', CAST(c % 3 AS {text}), '.', CAST(c + 2 AS {text}))
-       ELSE concat('192.168.', CAST(c % 3 AS {text}), '.', CAST(c + 2 AS {text})) END AS client,
-  CASE WHEN p % 77 = 0 THEN '10.0.53.2'
-       ELSE concat('10.0.53.', CAST(n + 1 AS {text})) END AS server,
-  CASE d WHEN 0 THEN 'www.google.com' WHEN 1 THEN 'graph.facebook.com'
-         WHEN 2 THEN 's3.amazonaws.com' WHEN 3 THEN 'www.amazon.com'
-         WHEN 4 THEN 'e1.akamai.net' WHEN 5 THEN 'localhost' WHEN 6 THEN '<Root>'
-         WHEN 7 THEN 'cdn.example.org' ELSE 'mail.yahoo.com' END AS qname FROM b)
-SELECT event_id AS seq, ts,
-  CASE WHEN is_resp = 1 THEN server ELSE client END AS src,
-  CASE WHEN is_resp = 1 THEN client ELSE server END AS dst,
-  CASE WHEN kind < 17 THEN 'DNS' WHEN kind = 17 THEN 'TCP' WHEN kind = 18 THEN 'ICMPv6'
-       ELSE 'MDNS' END AS protocol,
-  CAST(60 + (x * 37) % 400 AS BIGINT) AS length,
-  CASE
-    WHEN kind < 10 AND is_resp = 0 THEN concat('Standard query ', qid, ' A ', qname)
-    WHEN kind < 6 THEN concat('Standard query response ', qid, ' A ', qname, ' CNAME alias',
-                              CAST(d AS {text}), '.cdn.net A 1.2.3.4')
-    WHEN kind < 10 THEN concat('Standard query response ', qid, ' A ', qname, ' NS ns1.', qname,
-                               ' NS ns2.', qname)
-    WHEN kind = 10 THEN CASE WHEN is_resp = 0 THEN concat('Inverse query ', qid, ' PTR ', qname)
-                             ELSE concat('Inverse query response ', qid, ' PTR ', qname) END
-    WHEN kind = 11 THEN CASE WHEN is_resp = 0 THEN concat('Dynamic update ', qid, ' SOA ', qname)
-                             ELSE concat('Dynamic update response ', qid, ' SOA ', qname) END
-    WHEN kind = 12 THEN concat('Zone change notification ', qid, ' SOA ', qname)
-    WHEN kind = 13 THEN CASE WHEN is_resp = 0 THEN concat('Server status request ', qid)
-                             ELSE concat('Server status request response ', qid) END
-    WHEN kind = 14 THEN CASE WHEN is_resp = 0
-                             THEN concat('DNS Stateful operations (DSO) ', qid)
-                             ELSE 'DNS Stateful operations (DSO) response' END
-    WHEN kind = 15 THEN concat('Unknown operation (9) ', qid)
-    WHEN kind = 16 THEN 'Malformed'
-    WHEN kind = 17 THEN '53 > 40000 [SYN]'
-    WHEN kind = 18 THEN 'Neighbor Solicitation'
-    ELSE concat('Standard query 0x0000 PTR _ipp._tcp.local, ', '"QM" question') END AS info
-FROM a
-"""
-
-SPARK_TEXT = _TEMPLATE.format(
-    idiv="event_id div 2",
-    hex4="lpad(lower(hex(p % 4096)), 4, '0')",
-    text="STRING",
-    events="{events}",
-)
-DUCKDB_TEXT = _TEMPLATE.format(
-    idiv="event_id // 2",
-    hex4="lpad(lower(to_hex(p % 4096)), 4, '0')",
-    text="VARCHAR",
-    events="events",
-)
+from packetlens.functions.text import computed_once
+
+# Columns in the order they build on each other. ``{half}`` is event_id halved, ``{hex4}``
+# p's low bits in hexadecimal, ``{text}`` the type name for strings.
+STAGES = [
+    {"p": "{half}"},
+    {
+        "c": "CAST(p % 23 AS INT)",
+        "n": "CAST(p % 5 AS INT)",
+        "d": "CAST(p % 9 AS INT)",
+        "kind": """CASE WHEN p % 20 IN (11, 12) AND p % 23 >= 12 THEN 0
+            ELSE CAST(p % 20 AS INT) END""",
+        "is_resp": """CASE WHEN p % 23 >= 20 THEN 0 WHEN p % 23 = 19 THEN 1
+            WHEN p % 13 = 0 THEN 0 ELSE CAST(event_id % 2 AS INT) END""",
+        "x": "CASE WHEN p % 13 = 0 OR p % 23 >= 19 THEN p ELSE event_id END",
+        "qid": "concat('0x', {hex4})",
+    },
+    {
+        "client": """CASE WHEN p % 11 = 0 THEN '10.0.53.2'
+            ELSE concat(CASE WHEN c % 2 = 0 THEN '9.9.' ELSE '192.168.' END,
+                        CAST(c % 3 AS {text}), '.', CAST(c + 2 AS {text})) END""",
+        "server": """CASE WHEN p % 77 = 0 THEN '10.0.53.2'
+            ELSE concat('10.0.53.', CAST(n + 1 AS {text})) END""",
+        "qname": """CASE d WHEN 0 THEN 'www.google.com' WHEN 1 THEN 'graph.facebook.com'
+            WHEN 2 THEN 's3.amazonaws.com' WHEN 3 THEN 'www.amazon.com'
+            WHEN 4 THEN 'e1.akamai.net' WHEN 5 THEN 'localhost' WHEN 6 THEN '<Root>'
+            WHEN 7 THEN 'cdn.example.org' ELSE 'mail.yahoo.com' END""",
+        "marker": "CASE WHEN is_resp = 1 THEN 'response ' ELSE '' END",
+    },
+]
+PACKET = {
+    "seq": "event_id",
+    "ts": "ts",
+    "src": "CASE WHEN is_resp = 1 THEN server ELSE client END",
+    "dst": "CASE WHEN is_resp = 1 THEN client ELSE server END",
+    "protocol": """CASE WHEN kind < 17 THEN 'DNS' WHEN kind = 17 THEN 'TCP'
+        WHEN kind = 18 THEN 'ICMPv6' ELSE 'MDNS' END""",
+    "length": "CAST(60 + (x * 37) % 400 AS BIGINT)",
+    "info": """CASE
+        WHEN kind < 10 THEN concat('Standard query ', marker, qid, ' A ', qname,
+            CASE WHEN is_resp = 0 THEN ''
+                 WHEN kind < 6 THEN concat(' CNAME alias', CAST(d AS {text}), '.cdn.net A 1.2.3.4')
+                 ELSE concat(' NS ns1.', qname, ' NS ns2.', qname) END)
+        WHEN kind = 10 THEN concat('Inverse query ', marker, qid, ' PTR ', qname)
+        WHEN kind = 11 THEN concat('Dynamic update ', marker, qid, ' SOA ', qname)
+        WHEN kind = 12 THEN concat('Zone change notification ', qid, ' SOA ', qname)
+        WHEN kind = 13 THEN concat('Server status request ', marker, qid)
+        WHEN kind = 14 THEN CASE WHEN is_resp = 0
+            THEN concat('DNS Stateful operations (DSO) ', qid)
+            ELSE 'DNS Stateful operations (DSO) response' END
+        WHEN kind = 15 THEN concat('Unknown operation (9) ', qid)
+        WHEN kind = 16 THEN 'Malformed'
+        WHEN kind = 17 THEN '53 > 40000 [SYN]'
+        WHEN kind = 18 THEN 'Neighbor Solicitation'
+        ELSE concat('Standard query 0x0000 PTR _ipp._tcp.local, ', '"QM" question') END""",
+}
+SPARK = {"half": "event_id div 2", "hex4": "lpad(lower(hex(p % 4096)), 4, '0')", "text": "STRING"}
+DUCKDB = {"half": "event_id // 2", "hex4": "lpad(lower(to_hex(p % 4096)), 4, '0')",
+          "text": "VARCHAR"}
+
+
+def _sql(dialect: dict[str, str]) -> str:
+    """The stages as nested selects over ``events``."""
+    source = "SELECT event_id, ts FROM events"
+    for i, stage in enumerate(STAGES):
+        made = ", ".join(f"{e.format(**dialect)} AS {c}" for c, e in stage.items())
+        source = f"SELECT *, {made} FROM ({source}) s{i}"
+    made = ", ".join(f"{e.format(**dialect)} AS {c}" for c, e in PACKET.items())
+    return f"SELECT {made} FROM ({source}) s"
+
+
+DUCKDB_TEXT = _sql(DUCKDB)
 
 # Derived topic: capture order is dealt out over this many partitions.
 TOPIC_PARTITIONS = 4
@@ -80,7 +90,11 @@ TOPIC_PARTITIONS = 4
 
 def from_events(events: DataFrame) -> DataFrame:
     """Packets for any table with a unique ``event_id`` and a ``ts``."""
-    return events.sparkSession.sql(SPARK_TEXT, events=events)
+    rows = events.select("event_id", "ts")
+    for stage in STAGES:
+        made = {c: F.expr(e.format(**SPARK)) for c, e in stage.items()}
+        rows = computed_once(rows, **made)
+    return rows.select(*[F.expr(e.format(**SPARK)).alias(c) for c, e in PACKET.items()])
 
 
 def typed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:

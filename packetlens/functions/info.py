@@ -68,20 +68,18 @@ def query_domain(words: Column) -> Column:
     return F.substring_index(strip(F.element_at(words, -1)), ".", -2)
 
 
-def resource_records(words: Column) -> Column:
-    """An array of (type, name) for every CNAME or NS token and the token after it."""
-    pairs = F.transform(
-        words, lambda w, i: F.struct(w.alias("type"), F.get(words, i + 1).alias("name"))
+def record_type(words: Column, at: Column) -> Column:
+    """What the token at position ``at`` of a Standard text stands for: the whole of a query
+    is an "A", told by its first token; in a response every CNAME or NS token counts."""
+    query = word(words, 2) != "response"
+    return F.when(query & (at == 0), F.lit("A")).when(
+        ~query & F.get(words, at).isin(*RECORD_TYPES), F.get(words, at)
     )
-    found = F.filter(pairs, lambda p: p["type"].isin(*RECORD_TYPES) & p["name"].isNotNull())
-    return F.when(F.arrays_overlap(words, F.array(*map(F.lit, RECORD_TYPES))), found)
 
 
-def named_records(words: Column) -> Column:
-    """For a Standard packet: ("A", domain) of a query, the records of a response."""
-    query = word(words, 2) != "response"
-    asked = F.array(F.struct(F.lit("A").alias("type"), query_domain(words).alias("name")))
-    return F.when(query, asked).when(~query, resource_records(words))
+def record_name(words: Column, at: Column) -> Column:
+    """The domain of a query, or the token after a record's; null if the text ends there."""
+    return F.when(at == 0, query_domain(words)).otherwise(F.get(words, at + 1))
 
 
 def category(name: Column) -> Column:

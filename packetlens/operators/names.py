@@ -29,10 +29,18 @@ def _tokenised(packets: DataFrame, *keep: str) -> DataFrame:
 
 def name_records(packets: DataFrame, *keep: str) -> DataFrame:
     """One (type, request_response) row per Standard query and per record of a Standard
-    response, with the columns in ``keep``."""
-    rows = _tokenised(packets, *keep)
-    found = rows.select(*keep, F.inline(I.named_records(F.col("words"))))
-    return found.withColumnRenamed("name", "request_response")
+    response, with the columns in ``keep``. Walking the tokens as rows stays in generated
+    code, which array functions with lambdas would leave."""
+    words, at = F.col("words"), F.col("at")
+    spots = _tokenised(packets, *keep).select(
+        *keep, "words", F.posexplode("words").alias("at", "word")
+    )
+    found = spots.select(
+        *keep,
+        I.record_type(words, at).alias("type"),
+        I.record_name(words, at).alias("request_response"),
+    )
+    return found.where(F.col("type").isNotNull() & F.col("request_response").isNotNull())
 
 
 def query_domains(packets: DataFrame, *keep: str) -> DataFrame:

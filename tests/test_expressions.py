@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from packetlens.functions import address, envelope, info, numbers
 from packetlens.functions.packet import parse_packets
 from packetlens.functions.text import WHITESPACE, strip, tokens
+from packetlens.operators import names
 
 FEW = settings(max_examples=15, deadline=None,
                suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -58,8 +59,11 @@ def test_domain(spark, texts):
 @FEW
 @given(TEXTS)
 def test_records(spark, texts):
-    got = evaluate(spark, texts, lambda x: info.resource_records(tokens(x)))
-    assert [[tuple(r) for r in g or []] for g in got] == [records(t) for t in texts]
+    texts = [f"Standard query response {t}" for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, info string")
+    got = [(r.i, r.type, r.request_response) for r in names.name_records(df, "i").collect()]
+    want = [(i, *r) for i, t in enumerate(texts) for r in records(t.strip())]
+    assert sorted(got) == sorted(want)
 
 
 @FEW

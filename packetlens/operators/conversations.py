@@ -49,9 +49,13 @@ def conversations(rows: DataFrame, span: int = SPAN) -> DataFrame:
     its parts, read in order, are the whole list.
     """
     part = F.when(F.col("n_messages") <= span, F.lit(0)).otherwise(F.col("span"))
+    whole = [*KEY, "n_messages", "part"]
     return (
         conversation_messages(rows, span)
-        .groupBy(*KEY, "n_messages", part.alias("part"))
+        .withColumn("part", part)
+        # Lists gain nothing from being built before the shuffle as well as after it.
+        .repartition(*whole)
+        .groupBy(*whole)
         .agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "message"))).alias("m"))
-        .select(*KEY, "n_messages", "part", F.col("m.message").alias("messages"))
+        .select(*whole, F.col("m.message").alias("messages"))
     )

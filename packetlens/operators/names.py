@@ -100,9 +100,12 @@ def host_lists(
     )
     sized = with_group_size(pairs, keys, "bucket")
     parts = F.ceil(F.col("n_group") / F.lit(length))
+    whole = [*keys, "count", "part"]
     return (
         sized.withColumn("part", F.pmod(F.col("bucket"), parts))
-        .groupBy(*keys, "part", F.col("n_group").alias("count"))
+        .withColumnRenamed("n_group", "count")
+        # Lists gain nothing from being built before the shuffle as well as after it.
+        .repartition(*whole)
+        .groupBy(*whole)
         .agg(F.array_sort(F.collect_list("host")).alias("hosts"))
-        .select(*keys, "count", "part", "hosts")
     )

@@ -95,16 +95,22 @@ def upsert_add(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new).groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
 
 
-def _numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the folders ``prefix=N`` below ``path`` whose write has finished."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+def _numbered_folders(
+    spark: SparkSession, path: str, prefix: str, above: int | None = None
+) -> list[int]:
+    """Numbers N, greater than ``above``, of the folders ``prefix=N`` below ``path`` whose
+    write has finished."""
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = new_path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
     numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}=")]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(n for n in numbers if fs.exists(done(f"{path}/{prefix}={n}/_SUCCESS")))
+    return sorted(
+        n for n in numbers
+        if (above is None or n > above) and fs.exists(new_path(f"{path}/{prefix}={n}/_SUCCESS"))
+    )
 
 
 class Serving:
@@ -145,8 +151,8 @@ class Serving:
         base = max(snapshots, default=None)
         epochs = [
             e
-            for e in _numbered_folders(self.spark, self._changes(table), "epoch")
-            if (base is None or e > base) and (upto is None or e <= upto)
+            for e in _numbered_folders(self.spark, self._changes(table), "epoch", base)
+            if upto is None or e <= upto
         ]
         parts = []
         if base is not None:
@@ -169,9 +175,10 @@ class Serving:
     def compact(self, table: Table) -> None:
         """Fold every finished epoch into a new snapshot. Older files stay, for readers
         that still use them, until the storage's own retention removes them."""
-        epochs = _numbered_folders(self.spark, self._changes(table), "epoch")
         snapshots = _numbered_folders(self.spark, self._snapshots(table), "upto")
-        if not epochs or (snapshots and snapshots[-1] >= epochs[-1]):
+        base = max(snapshots, default=None)
+        epochs = _numbered_folders(self.spark, self._changes(table), "epoch", base)
+        if not epochs:
             return
         path = f"{self._snapshots(table)}/upto={epochs[-1]}"
         self.read(table, epochs[-1]).hint("rebalance").write.mode("overwrite").parquet(path)

@@ -1,9 +1,10 @@
-"""Command line for spark-submit: ``batch``, ``stream``, ``ingest``, ``archive``, ``chunk``."""
+"""Command line for spark-submit; ``--help`` lists the commands."""
 
 from __future__ import annotations
 
 import argparse
 
+from packetlens.functions.packet import parse_packets
 from packetlens.operators.windows import DURATION
 from packetlens.plans import batch_jobs
 from packetlens.session import build_session
@@ -31,14 +32,17 @@ def arguments() -> argparse.ArgumentParser:
     batch = commands.add_parser("batch", help="run a batch job over an archive")
     batch.add_argument("job", choices=batch_jobs.NAMES)
     batch.add_argument("--input_path", required=True)
+    batch.add_argument("--input_format", choices=["json", "table"], default="json",
+                       help="an archive, or a packet table made from one")
     batch.add_argument("--output_path")
     batch.add_argument("--serving")
 
-    stream = commands.add_parser("stream", help="run a streaming job over the topic")
-    stream.add_argument("job", choices=list(jobs.JOBS))
+    stream = commands.add_parser("stream", help="run streaming jobs over the topic")
+    stream.add_argument("job", choices=list(jobs.JOBS), nargs="+",
+                        help="one window job, or counting jobs that share the stream")
     stream.add_argument("--serving", required=True)
     stream.add_argument("--duration", default=DURATION)
-    stream.add_argument("--watermark", default=None)
+    stream.add_argument("--watermark", default=jobs.WATERMARK)
     _source(stream)
 
     ingest = commands.add_parser("ingest", help="publish the CSV files of a folder")
@@ -49,6 +53,10 @@ def arguments() -> argparse.ArgumentParser:
     keep.add_argument("--output_path", required=True)
     _source(keep)
 
+    table = commands.add_parser("table", help="parse an archive once into a packet table")
+    table.add_argument("--input_path", required=True)
+    table.add_argument("--output_path", required=True)
+
     chunk = commands.add_parser("chunk", help="cut captures into chunk files")
     chunk.add_argument("--input_path", required=True, nargs="+")
     chunk.add_argument("--output_path", required=True)
@@ -77,13 +85,22 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"packetlens {args.command}")
     if args.command == "batch":
         serving = Serving(spark, args.serving) if args.serving else None
-        batch_jobs.run(spark, args.job, args.input_path, args.output_path, serving)
+        batch_jobs.run(
+            spark, args.job, args.input_path, args.output_path, serving, args.input_format
+        )
+    elif args.command == "table":
+        packets = parse_packets(archive.read_archive(spark, args.input_path))
+        archive.write_packet_table(packets, args.output_path)
     elif args.command == "stream":
         source = topic.read_topic(spark, args.format, **_options(args.option))
-        writer = jobs.writer(
-            jobs.JOBS[args.job], topic.topic_packets(source), Serving(spark, args.serving),
-            args.checkpoint, args.duration, args.watermark,
-        )
+        packets, serving = topic.topic_packets(source), Serving(spark, args.serving)
+        chosen = [jobs.JOBS[name] for name in args.job]
+        if len(chosen) == 1:
+            writer = jobs.writer(
+                chosen[0], packets, serving, args.checkpoint, args.duration, args.watermark
+            )
+        else:
+            writer = jobs.shared_writer(chosen, packets, serving, args.checkpoint)
         _run(writer, args)
     elif args.command == "ingest":
         lines = capture.watch_lines(spark, args.watch)

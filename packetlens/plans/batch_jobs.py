@@ -37,10 +37,18 @@ JOBS = {
 NAMES = (*JOBS, "find_host", "uniquehosts_views")
 
 
-def result(spark: SparkSession, name: str, input_path: str, serving: Serving | None) -> DataFrame:
+def read_packets(spark: SparkSession, path: str, input_format: str) -> DataFrame:
+    if input_format == "table":
+        return archive.read_packet_table(spark, path)
+    return parse_packets(archive.read_archive(spark, path))
+
+
+def result(
+    spark: SparkSession, name: str, input_path: str, serving: Serving | None, input_format: str
+) -> DataFrame:
     if name == "uniquehosts_views":
         return unique_hosts_by_views(archive.read_archive_text(spark, input_path))
-    packets = parse_packets(archive.read_archive(spark, input_path))
+    packets = read_packets(spark, input_path, input_format)
     if name == "find_host":
         if serving is None:
             raise ValueError("find_host reads the nameservers from a serving root")
@@ -60,10 +68,11 @@ def run(
     input_path: str,
     output_path: str | None = None,
     serving: Serving | None = None,
+    input_format: str = "json",
 ) -> None:
     """Serve the result where the job has a table and a root is given, else write it
     tab-separated to ``output_path``."""
-    rows = result(spark, name, input_path, serving)
+    rows = result(spark, name, input_path, serving, input_format)
     table = table_of(name)
     if table and serving is not None:
         serving.apply(SERVING[table], rows, serving.next_epoch(SERVING[table]))

@@ -72,14 +72,11 @@ SELECT src AS address_a, dst AS address_b, total, {avg} AS avg, n AS count FROM
 
 _TWO_DECIMALS = "CAST(printf('%.2f', total / n) AS DOUBLE)"
 
-# Averages ranked: staged like a chain of views; a self pair meets itself and doubles.
-_AVERAGES = _with(_DIRECTED, """
-two_way AS (SELECT DISTINCT CASE WHEN src > dst THEN src ELSE dst END AS src,
-                CASE WHEN src > dst THEN dst ELSE src END AS dst FROM m WHERE r_n IS NOT NULL),
-v AS (SELECT two_way.src, two_way.dst, m.total + m.r_total AS total, m.n + m.r_n AS n
-      FROM two_way JOIN m ON two_way.src = m.src AND two_way.dst = m.dst
-      UNION ALL SELECT src, dst, total, n FROM m WHERE r_n IS NULL)""") + """
-SELECT src, dst, total / n AS average, CAST(n AS DOUBLE) AS tot FROM v"""
+# A pair met from both sides counts from its larger address; a self pair meets itself.
+_AVERAGES = _with(_DIRECTED) + """
+SELECT src, dst, (total + coalesce(r_total, 0)) / (n + coalesce(r_n, 0)) AS average,
+       CAST(n + coalesce(r_n, 0) AS DOUBLE) AS tot
+FROM m WHERE r_n IS NULL OR src >= dst"""
 
 
 def _hosts(where: str, columns: str) -> str:
@@ -231,6 +228,15 @@ _CATEGORIES = _with(_RECORDS, """
 per_name AS (SELECT name, count(*) AS n FROM rec WHERE type = 'A' GROUP BY name)""") + f"""
 SELECT {_CATEGORY} AS category, CAST(sum(n) AS BIGINT) AS requests FROM per_name GROUP BY 1"""
 
+_SHARED = " UNION ALL ".join(
+    f"SELECT '{table}' AS served, {key} AS item, {value} AS n FROM ({sql})"
+    for table, key, value, sql in (
+        ("message_types", "type", "packets", _MESSAGE_TYPES),
+        ("errors", "address", "errors", _ERRORS),
+        ("categories", "category", "requests", _CATEGORIES),
+    )
+)
+
 _HOSTS_DNS = _hosts("protocol = 'DNS'", _NAME_COUNT)
 _HOSTS = _hosts("true", _NAME_COUNT)
 _NAMESERVER_ACTIVITY = _with(_NAMESERVERS) + _ALL_BRANCHES
@@ -259,6 +265,7 @@ FROM events""",
     "pair_traffic_no_self": _pairs(_NUMERIC, self_pairs=False),
     "pair_traffic_rounded": _ROUNDED,
     "tsv_output": _ROUNDED,
+    "pair_traffic_from_table": _pairs(_NUMERIC),
     "pair_average_ranked": _AVERAGES,
     "unique_hosts": _HOSTS,
     "unique_hosts_ranked": _HOSTS,
@@ -306,6 +313,7 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_nameservers": _NAMESERVER_ACTIVITY,
     "stream_name_counts": _NAME_COUNTS,
     "stream_categories": _CATEGORIES,
+    "stream_shared": _SHARED,
     "stream_conversations": _CONVERSATIONS,
     "stream_conversations_per_batch": _CONVERSATIONS_PER_BATCH,
     "stream_window_bytes_packets": _window_bytes(_DAY),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from packetlens.functions import envelope
 from packetlens.functions import info as I
@@ -119,21 +120,53 @@ def run_in_slices(
 ) -> Serving:
     """Fill a topic slice by slice; after each one start the job on its checkpoint, let it
     take what is new, and stop it. The serving tables then hold the work of three runs."""
-    root = work_dir(spark, name)
+    def start(packets: DataFrame, serving: Serving, checkpoint: str) -> DataStreamWriter:
+        return jobs.writer(jobs.JOBS[name], packets, serving, checkpoint, duration, watermark)
+
+    return fill_and_run(spark, sf_dir, start, day_slice() if arrival is None else arrival)
+
+
+def fill_and_run(
+    spark: SparkSession,
+    sf_dir: str,
+    start: Callable[[DataFrame, Serving, str], DataStreamWriter],
+    slice_of: Column,
+) -> Serving:
+    root = work_dir(spark, "stream")
     feed, checkpoint = f"{root}/topic", f"{root}/checkpoint"
     serving = Serving(spark, f"{root}/serving")
     records = derived.topic_records(spark, sf_dir)
-    slice_of = day_slice() if arrival is None else arrival
     for k in SLICES:
         records.where(slice_of == k).write.mode("append").parquet(feed)
         packets = topic.topic_packets(topic.read_topic(spark, "parquet", path=feed))
-        job = jobs.JOBS[name]
-        jobs.run_available(
-            jobs.writer(job, packets, serving, checkpoint, duration, watermark)
-        )
+        jobs.run_available(start(packets, serving, checkpoint))
     return serving
 
 
+SHARED = {
+    "message_types": ("type", "packets"),
+    "errors": ("address", "errors"),
+    "categories": ("category", "requests"),
+}
+
+
+def stream_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three counting jobs on one stream, their tables one below the other."""
+    chosen = [jobs.JOBS[name] for name in SHARED]
+
+    def start(packets: DataFrame, serving: Serving, checkpoint: str) -> DataStreamWriter:
+        return jobs.shared_writer(chosen, packets, serving, checkpoint)
+
+    serving = fill_and_run(spark, sf_dir, start, day_slice())
+    parts = [
+        jobs.read_result(name, serving).select(
+            F.lit(name).alias("served"), F.col(key).alias("item"), F.col(value).alias("n")
+        )
+        for name, (key, value) in SHARED.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _stream(name: str, shape: Callable[[DataFrame], DataFrame] = _plain_times) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return shape(jobs.read_result(name, run_in_slices(spark, sf_dir, name)))
@@ -245,6 +278,12 @@ def tsv_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.read_tsv(spark, path, PAIR_SCHEMA)
 
 
+def pair_traffic_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "packets")
+    archive.write_packet_table(derived.packets(spark, sf_dir), path)
+    return pairs.pair_traffic(archive.read_packet_table(spark, path))
+
+
 # --- the registry --------------------------------------------------------------------
 
 
@@ -302,6 +341,7 @@ STATIC: dict[str, Query] = {
     "serving_compact": serving_compact,
     "serving_lookup": serving_lookup,
     "tsv_output": tsv_output,
+    "pair_traffic_from_table": pair_traffic_from_table,
     "hive_style_views": hive_style_views,
 }
 
@@ -311,6 +351,7 @@ STREAMS: dict[str, Query] = {
     "stream_nameservers": _stream("nameservers"),
     "stream_name_counts": _stream("names"),
     "stream_categories": _stream("categories"),
+    "stream_shared": stream_shared,
     "stream_conversations": _stream(
         "conversations", lambda df: _joined(df, "messages", "\n")),
     "stream_conversations_per_batch": _stream(

@@ -39,6 +39,16 @@ def archive_writer(
     )
 
 
+def write_packet_table(packets: DataFrame, path: str) -> None:
+    """Parsed packets in columns, so that several jobs share one parse and read only what
+    they use. Sorting within each task lets a filter on protocol skip row groups."""
+    packets.drop("message").sortWithinPartitions("protocol").write.parquet(path)
+
+
+def read_packet_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def numbered(lines: DataFrame) -> DataFrame:
     """Give lines without a sequence number a unique one, by position.
 

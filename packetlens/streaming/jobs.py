@@ -18,6 +18,9 @@ from packetlens.operators import conversations as C
 from packetlens.operators import messages, names, nameservers, windows
 from packetlens.streaming.serving import SERVING, Serving, Table
 
+# How late a packet may arrive before its window is closed and its state freed.
+WATERMARK = "10 minutes"
+
 
 @dataclass(frozen=True)
 class StreamJob:
@@ -66,24 +69,45 @@ def writer(
     serving: Serving,
     checkpoint: str,
     duration: str = windows.DURATION,
-    watermark: str | None = None,
+    watermark: str | None = WATERMARK,
 ) -> DataStreamWriter:
     """The stream ready to be triggered and started. Restarting on the same checkpoint
-    goes on where it stopped; an epoch that was cut short is written again in full."""
+    goes on where it stopped; an epoch that was cut short is written again in full.
+    Without a watermark (None) no row is ever late and state is kept for good."""
     if job.windowed:
         rows = job.transform(packets, duration, watermark)
 
         def change(batch: DataFrame, epoch: int) -> None:
             serving.apply(job.target, batch, epoch)
 
-    else:
-        rows = packets
+        return _to_batches(rows, "update", change, checkpoint)
+    return shared_writer([job], packets, serving, checkpoint)
 
-        def change(batch: DataFrame, epoch: int) -> None:
+
+def shared_writer(
+    counting: list[StreamJob], packets: DataFrame, serving: Serving, checkpoint: str
+) -> DataStreamWriter:
+    """Several counting jobs on one stream: the topic is read and parsed once for all."""
+    if any(job.windowed for job in counting):
+        raise ValueError("window jobs hold state of their own and need a stream each")
+
+    def change(batch: DataFrame, epoch: int) -> None:
+        shared = len(counting) > 1
+        if shared:
+            batch.persist()
+        for job in counting:
             serving.apply(job.target, job.transform(batch), epoch)
+        if shared:
+            batch.unpersist()
 
+    return _to_batches(packets, "append", change, checkpoint)
+
+
+def _to_batches(
+    rows: DataFrame, mode: str, change: Callable[[DataFrame, int], None], checkpoint: str
+) -> DataStreamWriter:
     return (
-        rows.writeStream.outputMode("update" if job.windowed else "append")
+        rows.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(change)
     )

@@ -87,6 +87,16 @@ def test_archive_reader_leaves_out_broken_lines(spark, tmp_path):
     assert rows(archive.read_archive(spark, str(tmp_path))) == [("a,b,DNS,1,x",)]
 
 
+def test_packet_table_is_pruned_and_filtered_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "table")
+    archive.write_packet_table(derived.packets(spark, SF), path)
+    result = pairs.pair_traffic(archive.read_packet_table(spark, path))
+    assert rows(result) == rows(pairs.pair_traffic(derived.packets(spark, SF)))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(protocol,DNS)" in plan
+    assert "ReadSchema: struct<src:string,dst:string,protocol:string,length:bigint>" in plan
+
+
 def test_numbered_lines_are_unique_and_stable(spark):
     lines = derived.packet_lines(spark, SF).select("message").repartition(5)
     numbered = archive.numbered(lines)
@@ -142,6 +152,13 @@ def test_command_line(spark, tmp_path, monkeypatch, captures):
         out = str(tmp_path / f"out-{job}")
         cli.main(["batch", job, "--input_path", arch, "--output_path", out])
         assert spark.read.text(out).count() > 0
+    cli.main(["stream", "message_types", "errors", "--serving", root, "--checkpoint",
+              f"{root}/cp-shared", *source])
+    cli.main(["table", "--input_path", arch, "--output_path", str(tmp_path / "table")])
+    cli.main(["batch", "uniquehosts_dns", "--input_path", str(tmp_path / "table"),
+              "--input_format", "table", "--output_path", str(tmp_path / "out-table")])
+    assert rows(spark.read.text(str(tmp_path / "out-table"))) == rows(
+        spark.read.text(str(tmp_path / "out-uniquehosts_dns")))
     cli.main(["compact", "--serving", root])
     cli.main(["chunk", "--input_path", str(captures), "--output_path", str(tmp_path / "chunks")])
     cli.main(["ingest", "--watch", str(tmp_path / "chunks"), "--checkpoint", f"{root}/cp-i",

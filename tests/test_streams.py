@@ -207,6 +207,11 @@ def test_lookup_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(request_response,b)" in plan
 
 
+def test_window_jobs_do_not_share_a_stream(spark, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.shared_writer([jobs.JOBS["window_names"]], spark.range(1), Serving(spark, "x"), "y")
+
+
 def test_upserts(spark):
     old, new = counts(spark, a=1, b=2), counts(spark, b=5, c=7)
     keys = ["request_response", "type"]

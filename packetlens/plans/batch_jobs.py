@@ -6,9 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from packetlens.functions.packet import parse_packets
-from packetlens.operators import hosts, names, pairs
+from packetlens.operators import conversations, hosts, messages, names, nameservers, pairs
 from packetlens.plans.hive_views import unique_hosts_by_views
 from packetlens.sources import archive, output
 from packetlens.streaming.jobs import read_nameservers
@@ -23,6 +24,15 @@ class BatchJob:
     table: str | None = None
 
 
+def all_conversations(packets: DataFrame) -> DataFrame:
+    """Conversations of an archive, whose packets have a position but no time."""
+    if "seq" not in packets.columns:
+        packets = archive.numbered(packets)
+    if "ts" not in packets.columns:
+        packets = packets.withColumn("ts", F.lit(None).cast("timestamp"))
+    return conversations.conversations(conversations.messages(packets, "seq", "ts"))
+
+
 JOBS = {
     "packets_total_avg_len": BatchJob(pairs.pair_traffic, "total_avg_bytes"),
     "requests_and_responses_uniquehosts": BatchJob(
@@ -32,6 +42,13 @@ JOBS = {
     "packets_average_ranked": BatchJob(pairs.pair_average_ranked),
     "uniquehosts_dns": BatchJob(lambda p: names.unique_hosts_ranked(p, dns_only=True)),
     "uniquehosts_ranked": BatchJob(names.unique_hosts_ranked),
+    # What the counting streams maintain, over a whole archive at once.
+    "message_types": BatchJob(messages.message_types),
+    "errors": BatchJob(messages.error_sources),
+    "nameservers": BatchJob(nameservers.nameserver_activity),
+    "names": BatchJob(names.name_counts),
+    "categories": BatchJob(names.category_counts),
+    "conversations": BatchJob(all_conversations),
 }
 # Jobs that need something other than packets alone.
 NAMES = (*JOBS, "find_host", "uniquehosts_views")
@@ -82,9 +99,12 @@ def run(
         raise ValueError(f"{name} needs an output path")
 
 
+LIST_SEPARATOR = ","
+
+
 def _flat(rows: DataFrame) -> DataFrame:
-    """Lists as comma-joined text, which a text file can hold."""
+    """Lists as joined text, which a text file can hold."""
     return rows.selectExpr(
-        *[f"array_join(`{c}`, ',') AS `{c}`" if t.startswith("array") else f"`{c}`"
+        *[f"array_join(`{c}`, '{LIST_SEPARATOR}') AS `{c}`" if t.startswith("array") else f"`{c}`"
           for c, t in rows.dtypes]
     )

@@ -130,7 +130,7 @@ talk AS (SELECT seq, ts, CASE WHEN t[3] <> 'response' THEN t[3] ELSE t[4] END AS
 sized AS (SELECT *, count(*) OVER (PARTITION BY query_id, client, server) AS n_messages FROM talk)"""
 
 _CONVERSATIONS = _with(_TALK) + """
-SELECT query_id, client, server, n_messages, 0 AS part,
+SELECT query_id, client, server, n_messages, CAST(0 AS BIGINT) AS part,
        string_agg(message, chr(10) ORDER BY ts, seq) AS messages
 FROM sized WHERE n_messages > 1 GROUP BY query_id, client, server, n_messages"""
 
@@ -140,7 +140,7 @@ _CONVERSATIONS_PER_BATCH = _with(_TALK, f"""
 batch AS (SELECT query_id, client, server, {_SLICE} AS k, count(*) AS n_messages,
                  string_agg(message, chr(10) ORDER BY ts, seq) AS messages
           FROM talk GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)""") + """
-SELECT query_id, client, server, 0 AS part, n_messages, messages FROM batch
+SELECT query_id, client, server, CAST(0 AS BIGINT) AS part, n_messages, messages FROM batch
 QUALIFY row_number() OVER (PARTITION BY query_id, client, server ORDER BY k DESC) = 1"""
 
 
@@ -273,7 +273,7 @@ FROM events""",
     "hive_style_views": _hosts("true", "type, name, count(*) AS n"),
     "host_pairs": _with(_RECORDS) + """
 SELECT DISTINCT type, name AS request_response, src AS host FROM rec""",
-    "host_lists": _hosts("true", f"""{_NAME_COUNT}, 0 AS part,
+    "host_lists": _hosts("true", f"""{_NAME_COUNT}, CAST(0 AS BIGINT) AS part,
        string_agg(src, ',' ORDER BY src) AS hosts"""),
     "find_hosts": _with(_NAMESERVERS, f"ns AS ({_ALL_BRANCHES})", """
 everyone AS (SELECT src AS address FROM pk UNION SELECT dst FROM pk)""") + """
@@ -320,6 +320,7 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_window_exchanged_packets": _window_exchanged(_DAY),
     "stream_window_message_types": _window_types(_DAY),
     "stream_window_names": _window_names(_DAY),
+    "stream_resume": _window_names(_DAY),
     "late_rows_dropped": _LATE,
     "archive_roundtrip": _with() + "SELECT src, dst, protocol, length, info FROM pk",
     # A field with a comma is quoted in the chunk file, and the quote stays with the text.

@@ -174,6 +174,13 @@ def _stream(name: str, shape: Callable[[DataFrame], DataFrame] = _plain_times) -
     return query
 
 
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One slice, a stop, the other two at once, a stop, and a start that finds nothing new."""
+    arrival = F.least(day_slice(), F.lit(1))
+    serving = run_in_slices(spark, sf_dir, "window_names", arrival=arrival)
+    return _plain_times(jobs.read_result("window_names", serving))
+
+
 def late_arrival() -> Column:
     """Every seventh packet comes one slice late."""
     late = (F.col("partition") + F.col("offset") * derived.TOPIC_PARTITIONS) % 7 == 0
@@ -360,6 +367,7 @@ STREAMS: dict[str, Query] = {
     "stream_window_exchanged_packets": _stream("window_exchanged_packets"),
     "stream_window_message_types": _stream("window_message_types"),
     "stream_window_names": _stream("window_names"),
+    "stream_resume": stream_resume,
     "late_rows_dropped": late_rows_dropped,
     "archive_roundtrip": archive_roundtrip,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,

@@ -9,7 +9,7 @@ from checks import DATA
 from packetlens import __main__ as cli
 from packetlens import session
 from packetlens.functions.packet import parse_packets
-from packetlens.operators import names, pairs
+from packetlens.operators import conversations, names, pairs
 from packetlens.sources import archive, capture, derived, output, topic
 from packetlens.streaming import jobs
 from packetlens.streaming.serving import SERVING, Serving
@@ -148,7 +148,8 @@ def test_command_line(spark, tmp_path, monkeypatch, captures):
     for job in ("packets_total_avg_len", "requests_and_responses_uniquehosts", "find_host"):
         cli.main(["batch", job, "--input_path", arch, "--serving", root])
     for job in ("packets_total_avg_len_rounded", "packets_average_ranked", "uniquehosts_dns",
-                "uniquehosts_ranked", "uniquehosts_views", "requests_and_responses_uniquehosts"):
+                "uniquehosts_ranked", "uniquehosts_views", "requests_and_responses_uniquehosts",
+                "message_types", "errors", "nameservers", "names", "categories", "conversations"):
         out = str(tmp_path / f"out-{job}")
         cli.main(["batch", job, "--input_path", arch, "--output_path", out])
         assert spark.read.text(out).count() > 0
@@ -168,6 +169,9 @@ def test_command_line(spark, tmp_path, monkeypatch, captures):
     p = derived.packets(spark, SF)
     assert rows(serving.read(SERVING["total_avg_bytes"])) == rows(pairs.pair_traffic(p))
     assert serving.read(SERVING["hosts"]).count() > 0
+    talks = spark.read.csv(str(tmp_path / "out-conversations"), sep="\t")
+    static = conversations.conversations(conversations.messages(p, "seq", "ts"))
+    assert talks.count() == static.count()
     with pytest.raises(ValueError):
         cli.main(["batch", "find_host", "--input_path", arch])
     with pytest.raises(ValueError):

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from packetlens.session import work_dir
 
@@ -66,7 +68,8 @@ def map_texts(
     to a dict of columns. ``keep`` names the columns passed through (default: all).
     """
     keep = df.columns if keep is None else keep
-    added = [f.split()[0] for f in schema.split(", ")]
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    added = fields.names
     rows = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, column])])
     passed = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n in keep)
 
@@ -76,7 +79,8 @@ def map_texts(
             for part in slices(batch, column):
                 got = work(part[column].to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part[c] for c in keep] + [pa.array(got[c]) for c in added], [*keep, *added]
+                    [part[c] for c in keep] + [pa.array(got[f.name], f.type) for f in fields],
+                    [*keep, *added],
                 )
 
     return rows.mapInArrow(run, f"{passed}, {schema}" if passed else schema)

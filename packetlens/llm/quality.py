@@ -20,7 +20,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetlens.llm import char_lm
@@ -30,13 +30,15 @@ ORDER = 5
 # Hash slots of the model: its greatest number of n-grams.
 SLOTS = 1 << 22
 # Half the width of a band, in spreads.
-WIDTH = 6.0
+WIDTH = 5.0
 # Standard deviation, in nats, of one character's log probability, and how many standard
 # errors of a text's mean its band is widened by.
 CHARACTER_SPREAD = 1.7
-ERRORS = 3.0
+ERRORS = 4.0
 # The least spread of log perplexity, in nats.
 LEAST_SPREAD = 0.02
+# Width, in nats, of the bins in which texts are counted to find quartiles.
+BIN = 0.001
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WORD = re.compile(r"[^ \t-\r]+")
@@ -129,8 +131,13 @@ def bands(rows: DataFrame, stats: str, width: float = WIDTH) -> DataFrame:
     nats = F.col(stats)["nats"]
     sound = rows.where(~base_failed(F.col(stats))).select(
         F.coalesce("lang", F.lit("")).alias("band_lang"), nats.alias("nats"))
-    quarters = sound.groupBy("band_lang").agg(
-        F.percentile_approx("nats", [0.25, 0.5, 0.75], 2000).alias("q"))
+    # Counts of narrow bins give the same quartiles however rows are dealt to tasks.
+    bins = sound.groupBy("band_lang", F.floor(F.col("nats") / BIN).alias("bin")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("band_lang")
+    ranked = bins.withColumn("below", F.sum("n").over(own.orderBy("bin"))).withColumn("all", F.sum("n").over(own))
+    quarters = ranked.groupBy("band_lang").agg(F.array(*[
+        F.min(F.when(4 * F.col("below") >= k * F.col("all"), F.col("bin"))) * BIN + BIN / 2 for k in (1, 2, 3)
+    ]).alias("q"))
     q = F.col("q")
     # Half the distance of the quartiles is the median absolute deviation of an even spread.
     spread = F.greatest((q[2] - q[0]) / 2, F.lit(LEAST_SPREAD)) * width

@@ -20,7 +20,7 @@ CLASSES = 1 << BITS
 PAD = 0
 OTHER = 1
 # Distinct n-grams that a task gathers before it merges them.
-MERGE_AT = 2_000_000
+MERGE_AT = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -249,6 +249,10 @@ class CharModel:
 
 def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs of the given lengths (0 for an empty run)."""
-    sums = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, 0, "f8")])
-    ends = np.cumsum(lengths)
-    return sums[ends] - sums[ends - lengths]
+    out = np.zeros((len(lengths), *values.shape[1:]))
+    filled = lengths > 0
+    if filled.any():
+        # A run's sum does not depend on the runs around it.
+        first = (np.cumsum(lengths) - lengths)[filled]
+        out[filled] = np.add.reduceat(values, first, axis=0, dtype="f8")
+    return out

@@ -16,13 +16,23 @@ from pyspark.sql.types import StructType
 from packetlens.session import work_dir
 
 # Bytes of text that a task handles at a time; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+# Rows of an Arrow batch that Spark hands to a task.
+BATCH_ROWS = 1000
+# Python workers are reused; these let them give freed arrays back to the machine.
+WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "524288", "MALLOC_TRIM_THRESHOLD_": "524288",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 CODE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Local workers find this code where the driver does; on a cluster give it by --py-files.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", CODE)
+    for key, value in {"PYTHONPATH": CODE, **WORKER_MEMORY}.items():
+        spark.sparkContext.environment.setdefault(key, value)
+    # Rows hold whole texts, so batches of the default number of rows would be large.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -43,9 +43,9 @@ ESTIMATE = 100
 ALLOWANCE = 0.2
 # Texts and set elements of one block.
 BLOCK_TEXTS = 256
-BLOCK_ELEMENTS = 2_000_000
+BLOCK_ELEMENTS = 500_000
 # Elements of a dense matrix that a block pair works on at a time.
-DENSE = 20_000_000
+DENSE = 4_000_000
 BLOOM_BITS = 1 << 24
 
 

@@ -100,9 +100,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _group_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from the texts of each run of equal prefixes to leaders. Rows come sorted by
-    prefix; a run may span batches, and only its leaders are held."""
-    run, leaders, names = None, None, []
+    """Edges that connect each run of equal prefixes as far as its texts are alike. Rows come
+    sorted by prefix; a run may span batches, and only its leaders are held. ``same`` tells
+    which leaders are connected already, so a text adds one edge and joins groups once."""
+    run, leaders, names, same = None, None, [], None
     least = THRESHOLD - (1 - THRESHOLD) - ALLOWANCE
     for batch in batches:
         a, b = [], []
@@ -111,15 +112,20 @@ def _group_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, node, sign in zip(keys.tolist(), nodes, raw, strict=True):
             own = np.frombuffer(sign, "u1")
             if key != run:
-                run, leaders, names = key, own[None, :], [node]
+                run, leaders, names, same = key, own[None, :], [node], np.zeros(1, "i8")
                 continue
             like = (leaders == own).mean(1)
-            for k in np.flatnonzero(like >= least).tolist():
-                a.append(node)
-                b.append(names[k])
+            hits = np.flatnonzero(like >= least)
+            if len(hits):
+                groups, first = np.unique(same[hits], return_index=True)
+                for k in hits[first].tolist():
+                    a.append(node)
+                    b.append(names[k])
+                same[np.isin(same, groups)] = groups[0]
             if like.max() < THRESHOLD:
                 leaders = np.concatenate([leaders, own[None, :]])
                 names.append(node)
+                same = np.append(same, groups[0] if len(hits) else len(same))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 

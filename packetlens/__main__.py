@@ -42,7 +42,7 @@ def arguments() -> argparse.ArgumentParser:
                         help="one window job, or counting jobs that share the stream")
     stream.add_argument("--serving", required=True)
     stream.add_argument("--duration", default=DURATION)
-    stream.add_argument("--watermark", default=jobs.WATERMARK)
+    stream.add_argument("--watermark", default=jobs.WATERMARK, help="a delay, or none")
     _source(stream)
 
     ingest = commands.add_parser("ingest", help="publish the CSV files of a folder")
@@ -97,7 +97,8 @@ def main(argv: list[str] | None = None) -> None:
         chosen = [jobs.JOBS[name] for name in args.job]
         if len(chosen) == 1:
             writer = jobs.writer(
-                chosen[0], packets, serving, args.checkpoint, args.duration, args.watermark
+                chosen[0], packets, serving, args.checkpoint, args.duration,
+                None if args.watermark == "none" else args.watermark,
             )
         else:
             writer = jobs.shared_writer(chosen, packets, serving, args.checkpoint)

@@ -11,7 +11,7 @@ from packetlens.operators.names import standard
 from packetlens.operators.spread import span_of, with_group_size
 
 KEY = ["query_id", "client", "server"]
-# Sequence numbers per part: the longest message list, and the cut through a hot key.
+# Sequence numbers per cut through a hot key.
 SPAN = 65536
 
 
@@ -41,21 +41,28 @@ def conversation_messages(rows: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def conversations(rows: DataFrame, span: int = SPAN) -> DataFrame:
+def conversations(rows: DataFrame, slice_seconds: int | None = None) -> DataFrame:
     """query_id, client, server, n_messages, part and the messages in capture order.
 
-    A conversation of up to ``span`` messages is one row with part 0. A longer one, such as
-    a query id one pair of hosts uses all day, is one row per ``span`` sequence numbers;
-    its parts, read in order, are the whole list.
+    With ``slice_seconds`` the list of every conversation is cut at multiples of that time,
+    ``part`` being the slice's number since 1970; parts read in order are the whole list.
+    Without it each list is one row with part 0, so a row is as long as its conversation:
+    give a slice, or use ``conversation_messages``, where query ids recur all day.
     """
-    part = F.when(F.col("n_messages") <= span, F.lit(0)).otherwise(F.col("span"))
+    ordered = F.array_sort(F.collect_list(F.struct("ts", "seq", "message")))
+    if slice_seconds is None:
+        grouped = rows.groupBy(*KEY).agg(F.count("*").alias("n_messages"), ordered.alias("m")).where(
+            F.col("n_messages") > 1)
+        return grouped.select(
+            *KEY, "n_messages", F.lit(0).cast("bigint").alias("part"), F.col("m.message").alias("messages"))
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
     whole = [*KEY, "n_messages", "part"]
     return (
-        conversation_messages(rows, span)
-        .withColumn("part", part)
+        conversation_messages(rows)
+        .withColumn("part", F.floor(second / slice_seconds).cast("bigint"))
         # Lists gain nothing from being built before the shuffle as well as after it.
         .repartition(*whole)
         .groupBy(*whole)
-        .agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "message"))).alias("m"))
+        .agg(ordered.alias("m"))
         .select(*whole, F.col("m.message").alias("messages"))
     )

@@ -13,8 +13,6 @@ from packetlens.operators.spread import with_group_size
 # Hosts of one name are cut into this many hash buckets, a power of two, when lists are
 # asked for.
 HOST_BUCKETS = 65536
-# A host list longer than this continues in further parts.
-LIST_LENGTH = 65536
 
 
 def standard(packets: DataFrame) -> DataFrame:
@@ -87,22 +85,21 @@ def unique_hosts_ranked(packets: DataFrame, dns_only: bool = False) -> DataFrame
 
 
 def host_lists(
-    packets: DataFrame, dns_only: bool = False, length: int = LIST_LENGTH
+    packets: DataFrame, dns_only: bool = False, parts: int = 1
 ) -> DataFrame:
     """type, request_response, count, part and the sorted hosts.
 
-    A name with up to ``length`` hosts is one row with part 0. The hosts of a larger one are
-    dealt by hash over as many rows as it needs; together its parts hold every host once.
+    The hosts of every name are dealt by hash over ``parts`` rows, a power of two up to
+    ``HOST_BUCKETS``; together its parts hold every host once. ``host_pairs`` has one row per host.
     """
     keys = ["type", "request_response"]
     pairs = host_pairs(packets, dns_only).withColumn(
         "bucket", F.xxhash64("host").bitwiseAND(F.lit(HOST_BUCKETS - 1))
     )
     sized = with_group_size(pairs, keys, "bucket")
-    parts = F.ceil(F.col("n_group") / F.lit(length))
     whole = [*keys, "count", "part"]
     return (
-        sized.withColumn("part", F.pmod(F.col("bucket"), parts))
+        sized.withColumn("part", F.pmod(F.col("bucket"), F.lit(parts)).cast("bigint"))
         .withColumnRenamed("n_group", "count")
         # Lists gain nothing from being built before the shuffle as well as after it.
         .repartition(*whole)

@@ -20,8 +20,11 @@ def _says(address: str, **counts: int) -> Column:
     )
 
 
-def evidence(packets: DataFrame, branches: tuple[str, ...] = BRANCHES) -> DataFrame:
-    """Summed evidence per address, for any protocol.
+def evidence(
+    packets: DataFrame, branches: tuple[str, ...] = BRANCHES, endpoints: bool = False
+) -> DataFrame:
+    """Summed evidence per address, for any protocol. With ``endpoints`` every source and
+    destination has a row, also one without evidence.
 
     queries: a Standard, Inverse or DNS query proves its destination a nameserver and a
     response its source; the other endpoint is possible evidence. updates: both ends of a
@@ -51,6 +54,9 @@ def evidence(packets: DataFrame, branches: tuple[str, ...] = BRANCHES) -> DataFr
     for condition, value in chosen[1:]:
         said = said.when(condition, value)
     split = computed_once(packets.select("src", "dst", "info"), words=tokens(info))
+    if endpoints:
+        seen = F.array(_says("src"), _says("dst"))
+        said = F.concat(seen, F.coalesce(said, F.slice(seen, 1, 0)))
     rows = split.select(F.inline(said))
     return rows.groupBy("address").agg(*[F.sum(name).alias(name) for name in EVIDENCE])
 
@@ -70,5 +76,12 @@ def activity(evidence_rows: DataFrame) -> DataFrame:
     )
 
 
+def unproven(packets: DataFrame) -> DataFrame:
+    """Addresses that no packet proves to be nameservers, from one pass over the packets."""
+    rows = evidence(packets, endpoints=True)
+    proven = F.col("known_sent") + F.col("known_received") > 0
+    return rows.where(~proven & F.col("address").isNotNull()).select(F.col("address").alias("host"))
+
+
 def nameserver_activity(packets: DataFrame, branches: tuple[str, ...] = BRANCHES) -> DataFrame:
     return activity(evidence(packets, branches))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The bucket of rows without one; spans are never negative.
+NO_BUCKET = -1
+
 
 def span_of(seq: Column, width: int) -> Column:
     """The range of ``width`` sequence numbers a row falls in. Numbers are whole and
@@ -16,11 +19,13 @@ def with_group_size(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
     """Add ``n_group``, the number of rows sharing ``keys``.
 
     A hot key is cut along ``bucket``. Rows are counted per (keys, bucket), the counts are
-    summed per key, and rows meet their sum on (keys, bucket), so a task never holds more
-    of a key than one bucket of rows or one count per bucket. Keys must not be null.
+    summed per key with a map-side part, and rows meet their sum on (keys, bucket), so a
+    task never holds more of a key than one bucket of rows; the join that brings sums back to
+    buckets is one that adaptive execution can split. Keys must not be null. Rows whose
+    bucket is null form a bucket of their own.
     """
+    rows = rows.withColumn(bucket, F.coalesce(bucket, F.lit(NO_BUCKET)))
     counts = rows.groupBy(*keys, bucket).agg(F.count("*").alias("n_bucket"))
-    totals = counts.select(
-        *keys, bucket, F.sum("n_bucket").over(Window.partitionBy(*keys)).alias("n_group")
-    )
+    sums = counts.groupBy(*keys).agg(F.sum("n_bucket").alias("n_group"))
+    totals = counts.drop("n_bucket").join(sums, keys)
     return rows.join(totals, [*keys, bucket])

@@ -27,7 +27,8 @@ class BatchJob:
 def all_conversations(packets: DataFrame) -> DataFrame:
     """Conversations of an archive, whose packets have a position but no time."""
     if "seq" not in packets.columns:
-        packets = archive.numbered(packets)
+        # The archive is read once, so a number need not be the same in another read.
+        packets = packets.withColumn("seq", F.monotonically_increasing_id())
     if "ts" not in packets.columns:
         packets = packets.withColumn("ts", F.lit(None).cast("timestamp"))
     return conversations.conversations(conversations.messages(packets, "seq", "ts"))

@@ -279,6 +279,13 @@ SELECT DISTINCT type, name AS request_response, src AS host FROM rec""",
 everyone AS (SELECT src AS address FROM pk UNION SELECT dst FROM pk)""") + """
 SELECT everyone.address AS host FROM everyone LEFT JOIN ns ON everyone.address = ns.address
 WHERE ns.address IS NULL""",
+    "find_hosts_join": _with(_NAMESERVERS, f"ns AS ({_ALL_BRANCHES})") + """
+SELECT DISTINCT p.address AS host FROM (SELECT src AS address FROM pk UNION SELECT dst FROM pk) AS p
+WHERE NOT EXISTS (SELECT 1 FROM ns WHERE ns.address = p.address)""",
+    "host_list_parts": _with(_RECORDS, """
+hosts AS (SELECT DISTINCT type, name, src FROM rec)""") + """
+SELECT type, name AS request_response, src AS host,
+       count(*) OVER (PARTITION BY type, name) AS count FROM hosts""",
     "message_types": _MESSAGE_TYPES,
     "error_sources": _ERRORS,
     "nameserver_activity": _NAMESERVER_ACTIVITY,
@@ -288,6 +295,11 @@ WHERE ns.address IS NULL""",
     "name_counts": _NAME_COUNTS,
     "category_counts": _CATEGORIES,
     "conversations": _CONVERSATIONS,
+    "conversation_parts": _with(_TALK) + """
+SELECT query_id, client, server, n_messages, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS part, message,
+       row_number() OVER (PARTITION BY query_id, client, server, floor(epoch(ts) / 86400)
+                          ORDER BY ts, seq) - 1 AS place
+FROM sized WHERE n_messages > 1""",
     "conversation_messages": _with(_TALK) + """
 SELECT query_id, client, server, n_messages, seq, message FROM sized WHERE n_messages > 1""",
     "window_bytes_packets": _window_bytes(_DAY),

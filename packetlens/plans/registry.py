@@ -77,7 +77,7 @@ def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch results that need more than the packets -----------------------------------
 
 
-def find_hosts(packets: DataFrame) -> DataFrame:
+def find_hosts_by_join(packets: DataFrame) -> DataFrame:
     return hosts.find_hosts(packets, nameservers.nameserver_activity(packets))
 
 
@@ -89,6 +89,13 @@ def conversation_list(packets: DataFrame) -> DataFrame:
     return _joined(conversations.conversations(conversation_rows(packets)), "messages", "\n")
 
 
+def conversation_parts(packets: DataFrame) -> DataFrame:
+    """Lists cut by days, and the place of every message in its part."""
+    found = conversations.conversations(conversation_rows(packets), 86_400)
+    return found.select(
+        *conversations.KEY, "n_messages", "part", F.posexplode("messages").alias("place", "message"))
+
+
 def conversation_long(packets: DataFrame) -> DataFrame:
     found = conversations.conversation_messages(conversation_rows(packets))
     return found.select(*conversations.KEY, "n_messages", "seq", "message")
@@ -317,7 +324,11 @@ STATIC: dict[str, Query] = {
     "unique_hosts_ranked": _on_packets(names.unique_hosts_ranked),
     "host_pairs": _on_packets(names.host_pairs),
     "host_lists": _on_packets(lambda p: _joined(names.host_lists(p), "hosts", ",")),
-    "find_hosts": _on_packets(find_hosts),
+    "host_list_parts": _on_packets(
+        lambda p: names.host_lists(p, parts=4).select(
+            "type", "request_response", "count", F.explode("hosts").alias("host"))),
+    "find_hosts": _on_packets(nameservers.unproven),
+    "find_hosts_join": _on_packets(find_hosts_by_join),
     "message_types": _on_packets(messages.message_types),
     "error_sources": _on_packets(messages.error_sources),
     "nameserver_activity": _on_packets(nameservers.nameserver_activity),
@@ -330,6 +341,7 @@ STATIC: dict[str, Query] = {
     "name_counts": _on_packets(names.name_counts),
     "category_counts": _on_packets(names.category_counts),
     "conversations": _on_packets(conversation_list),
+    "conversation_parts": _on_packets(conversation_parts),
     "conversation_messages": _on_packets(conversation_long),
     "window_bytes_packets": _window(windows.window_bytes_packets, DAY),
     "window_exchanged_packets": _window(windows.window_exchanged_packets, DAY),

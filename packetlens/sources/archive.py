@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from packetlens.functions.envelope import ARCHIVE_SCHEMA, stream_message
-from packetlens.session import work_dir
 
 # Fixed value: records per archive file.
 RECORDS_PER_FILE = 10_000
@@ -47,15 +46,3 @@ def write_packet_table(packets: DataFrame, path: str) -> None:
 
 def read_packet_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def numbered(lines: DataFrame) -> DataFrame:
-    """Give lines without a sequence number a unique one, by position.
-
-    The number depends on how files are split over tasks, which may differ between two
-    reads of one plan, so the numbered lines are written once and read back.
-    """
-    spark = lines.sparkSession
-    path = work_dir(spark, "numbered")
-    lines.withColumn("seq", F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)

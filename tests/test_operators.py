@@ -147,29 +147,45 @@ def talks(lines):
     return {k: v for k, v in groups.items() if len(v) > 1}
 
 
-@pytest.mark.parametrize("span", [1, 4, 64, 10_000])
-def test_conversations_whole_for_any_span(spark, span):
-    """Small spans cut even short conversations; their parts put together stay whole."""
+@pytest.mark.parametrize("seconds", [None, 1, 7, 10_000])
+def test_conversations_in_order_for_any_slice(spark, seconds):
+    """Parts read in order hold every message by time, then number."""
     lines = traffic(600, 2)
+    # The times repeat every minute, so numbers and times are in different orders.
     found = conversations.messages(packets(spark, lines), "seq", "ts")
+    times = {r.seq: r.ts for r in found.select("seq", "ts").collect()}
     got, sizes = defaultdict(list), {}
-    for r in conversations.conversations(found, span).collect():
-        assert len(r.messages) <= span
+    for r in conversations.conversations(found, seconds).collect():
         got[r.query_id, r.client, r.server].append((r.part, r.messages))
         sizes[r.query_id, r.client, r.server] = r.n_messages
     want = talks(lines)
     whole = {k: [m for _, ms in sorted(parts) for m in ms] for k, parts in got.items()}
-    # Within a part messages go by time, then number; the times here repeat every minute.
-    assert {k: Counter(v) for k, v in whole.items()} == {
-        k: Counter(m for _, m in v) for k, v in want.items()}
+    assert whole == {k: [m for _, _, m in sorted((times[s], s, m) for s, m in v)] for k, v in want.items()}
     assert sizes == {k: len(v) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("span", [1, 64, 10_000])
+def test_conversation_messages_for_any_span(spark, span):
+    lines = traffic(600, 2)
+    want = talks(lines)
+    found = conversations.messages(packets(spark, lines), "seq", "ts")
     long = conversations.conversation_messages(found, span)
     assert Counter((r.query_id, r.client, r.server, r.seq, r.message) for r in long.collect()) == \
         Counter((*k, s, m) for k, v in want.items() for s, m in v)
 
 
-@pytest.mark.parametrize("length", [1, 3, 1000])
-def test_host_lists_whole_for_any_length(spark, length):
+def test_conversation_messages_without_numbers(spark):
+    lines = traffic(600, 2)
+    found = conversations.messages(packets(spark, lines), "seq", "ts")
+    unnumbered = found.withColumn("seq", F.lit(None).cast("bigint"))
+    want = Counter(m for v in talks(lines).values() for _, m in v)
+    for rows_ in (conversations.conversation_messages(unnumbered).select("message"),
+                  conversations.conversations(unnumbered).select(F.explode("messages").alias("message"))):
+        assert Counter(r.message for r in rows_.collect()) == want
+
+
+@pytest.mark.parametrize("parts", [1, 4, 64])
+def test_host_lists_whole_for_any_parts(spark, parts):
     lines = traffic(500, 3)
     want = defaultdict(set)
     for line in lines:
@@ -183,7 +199,7 @@ def test_host_lists_whole_for_any_length(spark, length):
                 if t in ("CNAME", "NS"):
                     want[t, n].add(src)
     got = defaultdict(list)
-    for r in names.host_lists(packets(spark, lines), length=length).collect():
+    for r in names.host_lists(packets(spark, lines), parts=parts).collect():
         assert r.hosts == sorted(r.hosts)
         assert r["count"] == len(want[r.type, r.request_response])
         got[r.type, r.request_response] += r.hosts

@@ -97,13 +97,6 @@ def test_packet_table_is_pruned_and_filtered_at_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<src:string,dst:string,protocol:string,length:bigint>" in plan
 
 
-def test_numbered_lines_are_unique_and_stable(spark):
-    lines = derived.packet_lines(spark, SF).select("message").repartition(5)
-    numbered = archive.numbered(lines)
-    assert numbered.select("seq").distinct().count() == lines.count()
-    assert rows(numbered) == rows(numbered)
-
-
 def test_tsv(spark, tmp_path):
     result = pairs.pair_traffic_rounded(derived.packets(spark, SF))
     path = tmp_path / "one"

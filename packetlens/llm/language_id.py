@@ -25,6 +25,8 @@ from packetlens.llm.common import map_texts, stored
 ORDER = 4
 # Labelled rows per language that a model is learned from, about.
 SAMPLE_ROWS = 3000
+# Languages up to which their sizes are broadcast; beyond, texts are joined to them.
+MANY_LANGS = 10_000
 # Hash slots for the n-grams of one language.
 SLOTS = 1 << 20
 # One sampled row in so many calibrates instead of being counted.
@@ -91,7 +93,10 @@ class Identifier:
 def labelled_sample(docs: DataFrame, eligible: Column, rows: int) -> DataFrame:
     """About ``rows`` eligible rows per language, chosen by a hash of doc_id."""
     usable = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = stored(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
+    if sizes.count() <= MANY_LANGS:
+        # Few rows of a label and a number: texts are sampled without moving them.
+        sizes = F.broadcast(sizes)
     chance = (F.xxhash64(F.col("doc_id"), F.lit(7)).bitwiseAND(F.lit((1 << 30) - 1))) / F.lit(1 << 30)
     return (
         usable.select("doc_id", "lang", "text").join(sizes, "lang")

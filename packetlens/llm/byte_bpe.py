@@ -27,6 +27,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from packetlens.llm.common import fresh, map_texts
 from packetlens.llm.pieces import cut, memory
 
+# Pieces remembered by one Python process; a tuple of ids is larger than bytes are.
+REMEMBERED = 500_000
 # Keys per bucket of the perfect hash.
 BUCKET = 2
 # Displacements tried at a time.
@@ -170,7 +172,7 @@ def _texts(df: DataFrame, codec: Codec, one: Callable, schema: str, keep: list[s
 
     def make():
         own = shared.value
-        known = memory(f"bpe {own.name}", own.encoder)
+        known = memory(f"bpe {own.name}", own.encoder, REMEMBERED)
 
         def work(texts):
             pieces = [cut(t or "") for t in texts]

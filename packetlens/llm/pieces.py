@@ -51,9 +51,11 @@ class Memory(dict):
 _held: dict[str, Memory] = {}
 
 
-def memory(kind: str, make: Callable[[], Callable[[list[str]], Iterable]]) -> Memory:
+def memory(
+    kind: str, make: Callable[[], Callable[[list[str]], Iterable]], most: int = REMEMBERED
+) -> Memory:
     """The memory of this process for ``kind``; ``make()`` gives the work when it is new."""
     if kind not in _held:
         _held.clear()
-        _held[kind] = Memory(make())
+        _held[kind] = Memory(make(), most)
     return _held[kind]

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetlens.functions import info as I
 from packetlens.functions.text import computed_once, tokens
 from packetlens.operators.names import standard
-from packetlens.operators.spread import span_of, with_group_size
+from packetlens.operators.spread import NO_BUCKET, span_of, with_group_size
 
 KEY = ["query_id", "client", "server"]
 # Sequence numbers per cut through a hot key.
@@ -66,3 +66,40 @@ def conversations(rows: DataFrame, slice_seconds: int | None = None) -> DataFram
         .agg(ordered.alias("m"))
         .select(*whole, F.col("m.message").alias("messages"))
     )
+
+
+def gap_messages(rows: DataFrame, gap_seconds: int) -> DataFrame:
+    """The messages of conversations of two or more, where a pause longer than the gap ends
+    a conversation. ``start`` is the time of its first message.
+
+    Times are cut into slices as long as the gap. Messages of one slice belong together, and
+    slices follow one another without a pause only if they are neighbours, so counts, first
+    and last times per slice decide; a key's slices grow with the time the rows span, not with
+    their number. Messages without a time form one conversation per key, with a null start.
+    """
+    gap = gap_seconds * 1_000_000
+
+    def micros(name: str):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+
+    cut = rows.withColumn("slice", F.coalesce(span_of(micros("ts"), gap), F.lit(NO_BUCKET)))
+    slices = cut.groupBy(*KEY, "slice").agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n"))
+    timed = [*KEY, F.col("first").isNull()]
+    in_order = Window.partitionBy(*timed).orderBy("slice")
+    pause = micros("first") - F.lag(micros("last")).over(in_order)
+    runs = slices.withColumn("begins", F.coalesce((pause > gap).cast("int"), F.lit(1)))
+    runs = runs.withColumn("run", F.sum("begins").over(in_order))
+    run = Window.partitionBy(*timed, "run")
+    runs = runs.select(
+        *KEY, "slice", F.min("first").over(run).alias("start"), F.sum("n").over(run).alias("n_messages"))
+    return cut.join(runs.where(F.col("n_messages") > 1), [*KEY, "slice"]).select(
+        *KEY, "start", "n_messages", "ts", "seq", "message")
+
+
+def gap_conversations(rows: DataFrame, gap_seconds: int) -> DataFrame:
+    """query_id, client, server, start, n_messages and the messages in capture order, one row
+    per conversation of ``gap_messages``, which suits conversations too long for a row."""
+    ordered = F.array_sort(F.collect_list(F.struct("ts", "seq", "message")))
+    grouped = gap_messages(rows, gap_seconds).groupBy(*KEY, "start", "n_messages").agg(ordered.alias("m"))
+    return grouped.select(*KEY, "start", "n_messages", F.col("m.message").alias("messages"))

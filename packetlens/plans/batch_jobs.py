@@ -46,7 +46,7 @@ JOBS = {
     # What the counting streams maintain, over a whole archive at once.
     "message_types": BatchJob(messages.message_types),
     "errors": BatchJob(messages.error_sources),
-    "nameservers": BatchJob(nameservers.nameserver_activity),
+    "nameservers": BatchJob(nameservers.nameserver_activity, "nameservers"),
     "names": BatchJob(names.name_counts),
     "categories": BatchJob(names.category_counts),
     "conversations": BatchJob(all_conversations),

@@ -6,20 +6,22 @@ way the Spark jobs compute them, so the two sides check each other.
 
 from __future__ import annotations
 
-from packetlens.functions import info as I
 from packetlens.sources.derived import DUCKDB_TEXT, TOPIC_PARTITIONS
 
 
-def _list(values: object) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
-_VERBS = _list(I.VERBS)
-_RECORD_TYPES = _list(I.RECORD_TYPES)
-_CATEGORY = "CASE " + " ".join(
-    "WHEN " + " OR ".join(f"contains(name, '{p}')" for p in parts) + f" THEN '{label}'"
-    for label, parts in I.CATEGORIES.items()
-) + f" ELSE '{I.OTHER_CATEGORY}' END"
+# Fixed values, written out here so that they check those of the code.
+_VERBS = "'Standard', 'Dynamic', 'Zone', 'Server', 'Inverse', 'DNS'"
+_RECORD_TYPES = "'CNAME', 'NS'"
+_STATUS, _RESPONSE = "'Server status'", "'Server status request response'"
+_ERROR = "'Error/Unknown operation'"
+_CATEGORY = """CASE
+  WHEN regexp_matches(name, 'google|msn|yahoo|bing|ucweb|scorecardresearch') THEN 'search'
+  WHEN regexp_matches(name, 'apple|cloud|windows|cloudfront|amazonaws|android|ksmobile|microsoft|msftncsi|flurry|gmail|appsflyer|doubleclick|truecaller') THEN 'tech'
+  WHEN regexp_matches(name, 'facebook|whatsapp|youtube|skype|twitter|instagram') THEN 'social'
+  WHEN contains(name, 'amazon') THEN 'e-commerce'
+  WHEN regexp_matches(name, 'akamai|fbcdn') THEN 'cdn'
+  WHEN regexp_matches(name, 'porn|virus') THEN 'danger'
+  ELSE 'other' END"""
 
 # raw: packets as derived. pk: packets as parsed, where info ends at its first comma.
 _PACKETS = f"""
@@ -103,10 +105,10 @@ branch_queries AS (SELECT c.address, c.s + coalesce(p.s, 0) AS s, c.r + coalesce
 branch_updates AS (SELECT src AS address, 1 AS s, 0 AS r FROM pk WHERE t[1] IN ('Dynamic', 'Zone')
                    UNION ALL SELECT dst, 0, 1 FROM pk WHERE t[1] IN ('Dynamic', 'Zone')),
 branch_status AS (
-  SELECT CASE WHEN starts_with(info, '{I.STATUS_RESPONSE}') THEN src ELSE dst END AS address,
-         CASE WHEN starts_with(info, '{I.STATUS_RESPONSE}') THEN 1 ELSE 0 END AS s,
-         CASE WHEN starts_with(info, '{I.STATUS_RESPONSE}') THEN 0 ELSE 1 END AS r
-  FROM pk WHERE starts_with(info, '{I.STATUS}'))"""
+  SELECT CASE WHEN starts_with(info, {_RESPONSE}) THEN src ELSE dst END AS address,
+         CASE WHEN starts_with(info, {_RESPONSE}) THEN 1 ELSE 0 END AS s,
+         CASE WHEN starts_with(info, {_RESPONSE}) THEN 0 ELSE 1 END AS r
+  FROM pk WHERE starts_with(info, {_STATUS}))"""
 
 
 def _nameservers(*branches: str) -> str:
@@ -134,6 +136,15 @@ SELECT query_id, client, server, n_messages, CAST(0 AS BIGINT) AS part,
        string_agg(message, chr(10) ORDER BY ts, seq) AS messages
 FROM sized WHERE n_messages > 1 GROUP BY query_id, client, server, n_messages"""
 
+_CONVERSATIONS_GAP = _with(_TALK, """
+paused AS (SELECT *, CASE WHEN ts - lag(ts) OVER k > INTERVAL 1 DAY THEN 1 ELSE 0 END AS begins
+           FROM talk WINDOW k AS (PARTITION BY query_id, client, server ORDER BY ts, seq)),
+runs AS (SELECT *, sum(begins) OVER (PARTITION BY query_id, client, server ORDER BY ts, seq) AS run
+         FROM paused)""") + """
+SELECT query_id, client, server, min(ts) AS start, count(*) AS n_messages,
+       string_agg(message, chr(10) ORDER BY ts, seq) AS messages
+FROM runs GROUP BY query_id, client, server, run HAVING count(*) > 1"""
+
 _SLICE = "least((day(ts) - 1) // 10, 2)"
 
 _CONVERSATIONS_PER_BATCH = _with(_TALK, f"""
@@ -217,7 +228,7 @@ SELECT coalesce(new.name, old.name) AS request_response, coalesce(new.type, old.
 FROM old FULL JOIN new ON old.name = new.name AND old.type = new.type"""
 
 _MESSAGE_TYPES = _with(_CANDIDATES) + f"""
-SELECT CASE WHEN t[1] IN ({_VERBS}) THEN concat_ws(' ', t[1], t[2]) ELSE '{I.ERROR_TYPE}' END AS type,
+SELECT CASE WHEN t[1] IN ({_VERBS}) THEN concat_ws(' ', t[1], t[2]) ELSE {_ERROR} END AS type,
        count(*) AS packets
 FROM c GROUP BY 1"""
 
@@ -265,6 +276,7 @@ FROM events""",
     "pair_traffic_no_self": _pairs(_NUMERIC, self_pairs=False),
     "pair_traffic_rounded": _ROUNDED,
     "tsv_output": _ROUNDED,
+    "tsv_single_file": _ROUNDED,
     "pair_traffic_from_table": _pairs(_NUMERIC),
     "pair_average_ranked": _AVERAGES,
     "unique_hosts": _HOSTS,
@@ -279,6 +291,9 @@ SELECT DISTINCT type, name AS request_response, src AS host FROM rec""",
 everyone AS (SELECT src AS address FROM pk UNION SELECT dst FROM pk)""") + """
 SELECT everyone.address AS host FROM everyone LEFT JOIN ns ON everyone.address = ns.address
 WHERE ns.address IS NULL""",
+    "find_hosts_served": _with(_NAMESERVERS, f"ns AS ({_ALL_BRANCHES})") + """
+SELECT address AS host FROM (SELECT src AS address FROM pk UNION SELECT dst FROM pk)
+WHERE address NOT IN (SELECT address FROM ns)""",
     "find_hosts_join": _with(_NAMESERVERS, f"ns AS ({_ALL_BRANCHES})") + """
 SELECT DISTINCT p.address AS host FROM (SELECT src AS address FROM pk UNION SELECT dst FROM pk) AS p
 WHERE NOT EXISTS (SELECT 1 FROM ns WHERE ns.address = p.address)""",
@@ -300,6 +315,7 @@ SELECT query_id, client, server, n_messages, CAST(floor(epoch(ts) / 86400) AS BI
        row_number() OVER (PARTITION BY query_id, client, server, floor(epoch(ts) / 86400)
                           ORDER BY ts, seq) - 1 AS place
 FROM sized WHERE n_messages > 1""",
+    "conversations_gap": _CONVERSATIONS_GAP,
     "conversation_messages": _with(_TALK) + """
 SELECT query_id, client, server, n_messages, seq, message FROM sized WHERE n_messages > 1""",
     "window_bytes_packets": _window_bytes(_DAY),
@@ -316,7 +332,9 @@ SELECT query_id, client, server, n_messages, seq, message FROM sized WHERE n_mes
     "upsert_replace": _REPLACED,
     "upsert_add": _NAME_COUNTS,
     "upsert_replay": _NAME_COUNTS,
+    "upsert_restart": _NAME_COUNTS,
     "serving_compact": _NAME_COUNTS,
+    "serving_nameservers": _NAMESERVER_ACTIVITY,
     "serving_lookup": _with(_RECORDS) + """
 SELECT name AS request_response, type, count(*) AS requests
 FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
@@ -327,6 +345,7 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_categories": _CATEGORIES,
     "stream_shared": _SHARED,
     "stream_conversations": _CONVERSATIONS,
+    "stream_conversations_gap": _CONVERSATIONS_GAP,
     "stream_conversations_per_batch": _CONVERSATIONS_PER_BATCH,
     "stream_window_bytes_packets": _window_bytes(_DAY),
     "stream_window_exchanged_packets": _window_exchanged(_DAY),
@@ -335,6 +354,13 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_resume": _window_names(_DAY),
     "late_rows_dropped": _LATE,
     "archive_roundtrip": _with() + "SELECT src, dst, protocol, length, info FROM pk",
+    # Lines with a comma in a field are quoted; a quote before a field changes only these texts.
+    "csv_to_conversations": _with("""
+quoted AS (SELECT * REPLACE (CASE WHEN contains(message, '"') THEN concat('"', info) ELSE info END AS info)
+                  FROM pk),
+again AS (SELECT * REPLACE (string_split(info, ' ') AS t) FROM quoted)""",
+        _TALK.replace("FROM pk", "FROM again")) + """
+SELECT query_id, client, server, n_messages, message FROM sized WHERE n_messages > 1""",
     # A field with a comma is quoted in the chunk file, and the quote stays with the text.
     "csv_ingest_roundtrip": _with() + """
 SELECT src, dst, protocol, length,

@@ -15,6 +15,7 @@ from packetlens.functions.text import tokens
 from packetlens.operators import (
     chunks, conversations, hosts, messages, names, nameservers, pairs, windows,
 )
+from packetlens.plans import batch_jobs
 from packetlens.plans.hive_views import unique_hosts_by_views
 from packetlens.session import work_dir
 from packetlens.sources import archive, capture, derived, output, topic
@@ -96,6 +97,14 @@ def conversation_parts(packets: DataFrame) -> DataFrame:
         *conversations.KEY, "n_messages", "part", F.posexplode("messages").alias("place", "message"))
 
 
+# Shorter than the events span, so that it divides conversations.
+GAP = 86_400
+
+
+def conversations_gap(packets: DataFrame) -> DataFrame:
+    return _joined(conversations.gap_conversations(conversation_rows(packets), GAP), "messages", "\n")
+
+
 def conversation_long(packets: DataFrame) -> DataFrame:
     found = conversations.conversation_messages(conversation_rows(packets))
     return found.select(*conversations.KEY, "n_messages", "seq", "message")
@@ -210,8 +219,8 @@ def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_packets(archive.read_archive(spark, f"{root}/archive")).select(*FIELDS)
 
 
-def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captures -> chunk files -> watched folder -> topic records -> packets."""
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Captures -> chunk files -> watched folder -> topic records, below one root."""
     root = work_dir(spark, "ingest")
     rows = derived.typed_packets(spark, sf_dir)
     rows.select(
@@ -224,7 +233,21 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run_available(
         topic.topic_writer(lines, f"{root}/checkpoint", "parquet", path=f"{root}/topic")
     )
-    records = spark.read.parquet(f"{root}/topic")
+    return root
+
+
+def csv_to_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From capture files over the topic to the messages of served conversations."""
+    root = _ingested(spark, sf_dir)
+    serving = Serving(spark, f"{root}/serving")
+    packets = topic.topic_packets(topic.read_topic(spark, "parquet", path=f"{root}/topic"))
+    jobs.run_available(jobs.writer(jobs.JOBS["conversations"], packets, serving, f"{root}/talk"))
+    return jobs.read_conversations(serving).select(
+        *conversations.KEY, "n_messages", F.explode("messages").alias("message"))
+
+
+def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = spark.read.parquet(f"{_ingested(spark, sf_dir)}/topic")
     return parse_packets(
         records.select(envelope.stream_message(F.col("value")).alias("message"))
     ).select(*FIELDS)
@@ -277,6 +300,36 @@ def serving_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.read(table)
 
 
+def upsert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's epoch, a compaction, and a stream without its checkpoint at epoch 0 again."""
+    serving = Serving(spark, work_dir(spark, "serving"))
+    table = SERVING["domain_requests_and_responses"]
+    old, new = _halves(derived.packets(spark, sf_dir))
+    serving.apply(table, old, 0, "first")
+    serving.compact(table)
+    serving.apply(table, new, 0, "second")
+    serving.apply(table, new, 0, "second")
+    return serving.read(table)
+
+
+def _served_nameservers(spark: SparkSession, sf_dir: str) -> tuple[str, Serving]:
+    """An archive, and the table that the batch job fills from it."""
+    root = work_dir(spark, "nameservers")
+    derived.archive_lines(spark, sf_dir).select("value").write.text(f"{root}/archive")
+    serving = Serving(spark, f"{root}/serving")
+    batch_jobs.run(spark, "nameservers", f"{root}/archive", serving=serving)
+    return f"{root}/archive", serving
+
+
+def serving_nameservers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _served_nameservers(spark, sf_dir)[1].read(SERVING["nameservers"])
+
+
+def find_hosts_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archived, serving = _served_nameservers(spark, sf_dir)
+    return batch_jobs.result(spark, "find_host", archived, serving, "json")
+
+
 def serving_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     serving = _served_names(spark, sf_dir)
     table = SERVING["domain_requests_and_responses"]
@@ -292,6 +345,13 @@ def tsv_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.read_tsv(spark, path, PAIR_SCHEMA)
 
 
+def tsv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "tsv")
+    found = pairs.pair_traffic_rounded(derived.packets(spark, sf_dir))
+    output.write_tsv(found, path, single_file=True)
+    return output.read_tsv(spark, path, PAIR_SCHEMA)
+
+
 def pair_traffic_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "packets")
     archive.write_packet_table(derived.packets(spark, sf_dir), path)
@@ -343,6 +403,8 @@ STATIC: dict[str, Query] = {
     "conversations": _on_packets(conversation_list),
     "conversation_parts": _on_packets(conversation_parts),
     "conversation_messages": _on_packets(conversation_long),
+    "conversations_gap": lambda spark, sf_dir: _plain_times(
+        conversations_gap(derived.packets(spark, sf_dir))),
     "window_bytes_packets": _window(windows.window_bytes_packets, DAY),
     "window_exchanged_packets": _window(windows.window_exchanged_packets, DAY),
     "window_message_types": _window(windows.window_message_types, DAY),
@@ -357,9 +419,13 @@ STATIC: dict[str, Query] = {
     "upsert_replace": _on_packets(replaced),
     "upsert_add": _on_packets(added),
     "upsert_replay": upsert_replay,
+    "upsert_restart": upsert_restart,
     "serving_compact": serving_compact,
+    "serving_nameservers": serving_nameservers,
+    "find_hosts_served": find_hosts_served,
     "serving_lookup": serving_lookup,
     "tsv_output": tsv_output,
+    "tsv_single_file": tsv_single_file,
     "pair_traffic_from_table": pair_traffic_from_table,
     "hive_style_views": hive_style_views,
 }
@@ -373,6 +439,9 @@ STREAMS: dict[str, Query] = {
     "stream_shared": stream_shared,
     "stream_conversations": _stream(
         "conversations", lambda df: _joined(df, "messages", "\n")),
+    "stream_conversations_gap": lambda spark, sf_dir: _plain_times(_joined(
+        jobs.read_conversations(run_in_slices(spark, sf_dir, "conversations"), GAP),
+        "messages", "\n")),
     "stream_conversations_per_batch": _stream(
         "conversations_per_batch", lambda df: _joined(df, "messages", "\n")),
     "stream_window_bytes_packets": _stream("window_bytes_packets"),
@@ -383,6 +452,7 @@ STREAMS: dict[str, Query] = {
     "late_rows_dropped": late_rows_dropped,
     "archive_roundtrip": archive_roundtrip,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
+    "csv_to_conversations": csv_to_conversations,
 }
 
 QUERIES: dict[str, Query] = {**STATIC, **STREAMS}

@@ -25,21 +25,37 @@ WATERMARK = "10 minutes"
 @dataclass(frozen=True)
 class StreamJob:
     """``transform`` maps packets to changes of ``table``. A windowed one runs on the
-    stream itself, any other on each micro-batch."""
+    stream itself, any other on each micro-batch. ``view`` maps rows of the table to those of
+    the table ``viewed``, which is kept up to date for the keys that a batch has changed."""
 
     table: str
     transform: Callable[..., DataFrame]
     windowed: bool = False
+    viewed: str | None = None
+    view: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def target(self) -> Table:
         return SERVING[self.table]
 
+    def serve(self, serving: Serving, changes: DataFrame, epoch: int) -> None:
+        # The id lives in the checkpoint: a stream started without one is a new writer.
+        writer = changes.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        serving.apply(self.target, changes, epoch, writer)
+        if self.viewed:
+            keys = list(self.target.keys)
+            changed = serving.written(self.target, epoch, writer).select(*keys)
+            rows = serving.read(self.target).join(changed, keys, "left_semi")
+            serving.apply(SERVING[self.viewed], self.view(rows), epoch, writer)
+
 
 JOBS = {
     "message_types": StreamJob("message_types", messages.message_types),
     "errors": StreamJob("errors", messages.error_sources),
-    "nameservers": StreamJob("nameserver_evidence", nameservers.evidence),
+    "nameservers": StreamJob(
+        "nameserver_evidence", nameservers.evidence,
+        viewed="nameservers", view=nameservers.activity,
+    ),
     "names": StreamJob("domain_requests_and_responses", names.name_counts),
     "categories": StreamJob("searched_categories", names.category_counts),
     "conversations": StreamJob(
@@ -78,7 +94,7 @@ def writer(
         rows = job.transform(packets, duration, watermark)
 
         def change(batch: DataFrame, epoch: int) -> None:
-            serving.apply(job.target, batch, epoch)
+            job.serve(serving, batch, epoch)
 
         return _to_batches(rows, "update", change, checkpoint)
     return shared_writer([job], packets, serving, checkpoint)
@@ -95,10 +111,12 @@ def shared_writer(
         shared = len(counting) > 1
         if shared:
             batch.persist()
-        for job in counting:
-            serving.apply(job.target, job.transform(batch), epoch)
-        if shared:
-            batch.unpersist()
+        try:
+            for job in counting:
+                job.serve(serving, job.transform(batch), epoch)
+        finally:
+            if shared:
+                batch.unpersist()
 
     return _to_batches(packets, "append", change, checkpoint)
 
@@ -121,12 +139,14 @@ def run_available(stream: DataStreamWriter) -> StreamingQuery:
 
 
 def read_nameservers(serving: Serving) -> DataFrame:
-    return nameservers.activity(serving.read(SERVING["nameserver_evidence"]))
+    return serving.read(SERVING["nameservers"])
 
 
-def read_conversations(serving: Serving) -> DataFrame:
-    """Conversations over all batches so far, wherever a query and its response fell."""
-    return C.conversations(serving.read(SERVING["conversation_messages"]))
+def read_conversations(serving: Serving, gap_seconds: int | None = None) -> DataFrame:
+    """Conversations over all batches so far, wherever a query and its response fell; with a
+    gap, those that no longer pause divides."""
+    rows = serving.read(SERVING["conversation_messages"])
+    return C.conversations(rows) if gap_seconds is None else C.gap_conversations(rows, gap_seconds)
 
 
 def read_result(name: str, serving: Serving) -> DataFrame:

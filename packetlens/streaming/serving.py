@@ -4,8 +4,11 @@ A batch of changes is written to a folder named after its epoch, and never anywh
 so applying an epoch again replaces its own earlier write and cannot count twice. Writing
 reads nothing. A read folds the changes per key: "replace" keeps the newest row, "add" sums
 the values, and "append" has nothing to fold because no key comes twice. ``compact`` folds
-old epochs into one snapshot and keeps reads short. A table has one writer, whose checkpoint
-goes with it: start a writer without its checkpoint only on a table newly created.
+old epochs into one snapshot and keeps reads short.
+
+A table has one writer at a time. A stream's epochs count from the number it claimed at its
+first write, which lies above all that was there, so a stream that starts anew without its
+checkpoint adds to the table and neither replaces nor hides what an earlier one wrote.
 """
 
 from __future__ import annotations
@@ -95,22 +98,32 @@ def upsert_add(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new).groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
 
 
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return [s.getPath().toString() for s in found or []]
+
+
 def _numbered_folders(
     spark: SparkSession, path: str, prefix: str, above: int | None = None
 ) -> list[int]:
     """Numbers N, greater than ``above``, of the folders ``prefix=N`` below ``path`` whose
     write has finished."""
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = new_path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}=")]
-    return sorted(
-        n for n in numbers
-        if (above is None or n > above) and fs.exists(new_path(f"{path}/{prefix}={n}/_SUCCESS"))
-    )
+    done = _names(spark, f"{path}/{prefix}=*/_SUCCESS")
+    numbers = [int(n.split("/")[-2].split("=", 1)[1]) for n in done]
+    return sorted(n for n in numbers if above is None or n > above)
+
+
+def _finished_epochs(spark: SparkSession, path: str, above: int | None = None) -> list[int]:
+    """Epochs with a finished write. Only the newest can be without its mark, cut short and
+    waiting for its replay; others without one mean a store that writes no marks."""
+    done = _numbered_folders(spark, path, "epoch")
+    every = [int(n.rsplit("=", 1)[1]) for n in _names(spark, f"{path}/epoch=*")]
+    lost = sorted(set(every) - set(done))
+    if lost and lost != [max(every)]:
+        raise RuntimeError(f"epochs {lost[:5]} of {path} have no _SUCCESS mark")
+    return [n for n in done if above is None or n > above]
 
 
 class Serving:
@@ -126,13 +139,38 @@ class Serving:
     def _snapshots(self, table: Table) -> str:
         return f"{self.root}/{table.name}/snapshots"
 
-    def apply(self, table: Table, changes: DataFrame, epoch: int) -> None:
-        """Write one epoch. Aggregated changes may be few rows in many partitions, which
-        ``rebalance`` gathers into files of a good size; appended rows go out as they are."""
+    def _claims(self, table: Table) -> str:
+        return f"{self.root}/{table.name}/writers"
+
+    def _first_number(self, table: Table, writer: str) -> int:
+        """The number that stands for epoch 0 of ``writer``, claimed at its first write."""
+        path = f"{self._claims(table)}/{writer}"
+        if not _names(self.spark, f"{path}/_SUCCESS"):
+            claim = self.spark.range(1).select(F.lit(self.next_epoch(table)).cast("bigint").alias("first"))
+            claim.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("first bigint").parquet(path).first()[0]
+
+    def _folder(self, table: Table, epoch: int, writer: str | None) -> str:
+        if writer is not None:
+            epoch += self._first_number(table, writer)
+        return f"{self._changes(table)}/epoch={epoch}"
+
+    def apply(
+        self, table: Table, changes: DataFrame, epoch: int, writer: str | None = None
+    ) -> None:
+        """Write one epoch, counted from the first number of ``writer`` if one is named.
+
+        Aggregated changes may be few rows in many partitions, which ``rebalance`` gathers
+        into files of a good size, sorted so that a lookup can skip within them; appended rows
+        go out as they are."""
         shaped = changes.select(*[F.col(c).cast(t).alias(c) for c, t in table.columns.items()])
         if table.upsert != "append":
-            shaped = shaped.hint("rebalance")
-        shaped.write.mode("overwrite").parquet(f"{self._changes(table)}/epoch={epoch}")
+            shaped = shaped.hint("rebalance").sortWithinPartitions(*table.keys)
+        shaped.write.mode("overwrite").parquet(self._folder(table, epoch, writer))
+
+    def written(self, table: Table, epoch: int, writer: str | None = None) -> DataFrame:
+        """The changes of one epoch as they were written."""
+        return self.spark.read.schema(table.schema).parquet(self._folder(table, epoch, writer))
 
     def next_epoch(self, table: Table) -> int:
         """For a batch job, which has no epoch of its own."""
@@ -143,7 +181,7 @@ class Serving:
     def create(self, table: Table) -> None:
         """Make the table exist and empty."""
         empty = self.spark.createDataFrame([], table.schema)
-        for path in (self._snapshots(table), self._changes(table)):
+        for path in (self._snapshots(table), self._changes(table), self._claims(table)):
             empty.write.mode("overwrite").parquet(path)
 
     def read(self, table: Table, upto: int | None = None) -> DataFrame:
@@ -152,7 +190,7 @@ class Serving:
         base = max(snapshots, default=None)
         epochs = [
             e
-            for e in _numbered_folders(self.spark, self._changes(table), "epoch", base)
+            for e in _finished_epochs(self.spark, self._changes(table), base)
             if upto is None or e <= upto
         ]
         parts = []
@@ -178,11 +216,12 @@ class Serving:
         that still use them, until the storage's own retention removes them."""
         snapshots = _numbered_folders(self.spark, self._snapshots(table), "upto")
         base = max(snapshots, default=None)
-        epochs = _numbered_folders(self.spark, self._changes(table), "epoch", base)
+        epochs = _finished_epochs(self.spark, self._changes(table), base)
         if not epochs:
             return
         path = f"{self._snapshots(table)}/upto={epochs[-1]}"
-        self.read(table, epochs[-1]).hint("rebalance").write.mode("overwrite").parquet(path)
+        ordered = self.read(table, epochs[-1]).repartitionByRange(*table.keys)
+        ordered.sortWithinPartitions(*table.keys).write.mode("overwrite").parquet(path)
 
     def lookup(self, table: Table, **key: object) -> DataFrame:
         rows = self.read(table)

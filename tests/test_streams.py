@@ -231,3 +231,45 @@ def test_sequence_numbers_are_unique_over_partitions(spark):
     sizes = lambda t: Counter(
         r.n_messages for r in conversations.conversations(t).collect())
     assert sizes(talk) == sizes(static)
+
+
+def test_a_stream_without_its_checkpoint_adds_to_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, f"{root}/topic", [QUERY, REPLY])
+    serving = Serving(spark, f"{root}/serving")
+    packets = topic.topic_packets(topic.read_topic(spark, "parquet", path=f"{root}/topic"))
+    for attempt, want in (("one", 2), ("two", 4), ("two", 4)):
+        jobs.run_available(
+            jobs.writer(jobs.JOBS["message_types"], packets, serving, f"{root}/{attempt}"))
+        serving.compact(SERVING["message_types"])
+        served = jobs.read_result("message_types", serving)
+        assert served.agg(F.sum("packets")).first()[0] == want
+
+
+def test_a_store_without_marks_is_an_error(spark, tmp_path):
+    serving = Serving(spark, str(tmp_path))
+    for epoch in (0, 1):
+        serving.apply(NAMES, counts(spark, a=1), epoch)
+    (tmp_path / NAMES.name / "changes" / "epoch=0" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError):
+        serving.read(NAMES)
+
+
+def test_file_topic_offsets_are_unique_over_batches(spark):
+    lines = spark.range(40, numPartitions=3).select(F.lit("x").alias("value"))
+    both = topic.numbered(lines, 0).union(topic.numbered(lines, 1))
+    assert both.select("partition", "offset").distinct().count() == 80
+    with pytest.raises(ValueError):
+        topic.numbered(lines, topic.OFFSET_RANGE // topic.BATCH_OFFSETS)
+
+
+def test_gap_divides_conversations(spark):
+    talk = spark.sql("""
+        SELECT '1' AS query_id, 'c' AS client, 's' AS server, id AS seq, CAST(id AS STRING) AS message,
+               timestamp_micros(array(5000000, 14999999, 25000000, 35000000, 34999999, -3)[id]) AS ts
+        FROM range(6)
+        UNION ALL SELECT '2', 'c', 's', id, 'm', CAST(null AS TIMESTAMP) FROM range(2)
+        UNION ALL SELECT '3', 'c', 's', 0, 'm', timestamp_micros(0)""")
+    found = conversations.gap_conversations(talk, 10).collect()
+    # 14.999999 s to 25 s is a pause; 25 s to 35 s is not.
+    assert sorted(tuple(r.messages) for r in found) == [("2", "4", "3"), ("5", "0", "1"), ("m", "m")]

@@ -37,10 +37,11 @@ class Memory(dict):
         self.work, self.most = work, most
 
     def learn(self, pieces: Iterable[str]) -> None:
-        new = set(pieces).difference(self)
+        wanted = set(pieces)
+        new = wanted.difference(self)
         if len(self) + len(new) > self.most:
             # Frequent pieces come back with the next batch.
-            new = set(pieces)
+            new = wanted
             self.clear()
         new = list(new)
         if new:

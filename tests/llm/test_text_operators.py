@@ -436,3 +436,12 @@ def test_pipeline(spark, codec):
             assert not any(ok(m[0]) for m in re.finditer(pattern, text))
         if not re.search("[0-9@]", kept[i]):
             assert text == kept[i]
+
+
+def test_full_memory_still_knows_all_pieces_of_a_batch():
+    from packetlens.llm.pieces import Memory
+
+    known = Memory(lambda pieces: map(len, pieces), 3)
+    for batch in (["a", "bb"], ["a", "ccc", "dddd"], ["e", "ff", "a", "g", "h"], ["a"]):
+        known.learn(p for p in batch)
+        assert [known[p] for p in batch] == list(map(len, batch))

@@ -41,7 +41,7 @@ RECALL = 0.9999
 # Signature bytes from which similarity is estimated, and its allowance of error.
 ESTIMATE = 100
 ALLOWANCE = 0.2
-# Texts and set elements of one block.
+# Texts and set elements of one block, on average in a group of several.
 BLOCK_TEXTS = 256
 BLOCK_ELEMENTS = 500_000
 # Elements of a dense matrix that a block pair works on at a time.
@@ -240,14 +240,15 @@ def _verify(group: pa.Table) -> pa.Table:
 
 def verified(sets: DataFrame) -> DataFrame:
     """(node, links, partner) by pairs of blocks of each group."""
-    order = Window.partitionBy("root").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = sets.select("node", "root", F.greatest(
-        F.floor((F.row_number().over(Window.partitionBy("root").orderBy("node")) - 1) / BLOCK_TEXTS),
-        F.floor(F.sum("size").over(order) / BLOCK_ELEMENTS)).alias("block"))
-    last = blocks.groupBy("root").agg(F.max("block").alias("last"))
+    # Texts are dealt to blocks by their digests, so that no task numbers a whole group.
+    last = sets.groupBy("root").agg(F.greatest(
+        F.floor((F.count("*") - 1) / BLOCK_TEXTS), F.floor(F.sum("size") / BLOCK_ELEMENTS)).alias("last"))
+    # Elements meet their block by node, so a large group's are not shuffled under one key.
+    blocks = sets.select("node", "root").join(last, "root").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("last") + 1))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), "last"))
     rows = (
-        blocks.join(last, "root").join(sets.select("node", "elements"), "node")
+        blocks.join(sets.select("node", "elements"), "node")
         .select("root", "node", "elements", "block", other.alias("other"))
         .withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
     )

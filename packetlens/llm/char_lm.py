@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetlens.llm.common import slices
+from packetlens.llm.common import files_in, slices, stored
+from packetlens.session import work_dir
 
 BITS = 12
 CLASSES = 1 << BITS
@@ -21,6 +22,10 @@ PAD = 0
 OTHER = 1
 # Distinct n-grams that a task gathers before it merges them.
 MERGE_AT = 1_000_000
+# N-grams of one part of a model that is held in files; a task holds one part at a time.
+PART_NGRAMS = 1 << 22
+# Deals n-grams to parts evenly, in Spark and in numpy alike.
+DEAL = 1_000_003
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -170,6 +175,101 @@ class HashArray:
         return found
 
 
+def discounts(seen: list[int], modified: bool) -> np.ndarray:
+    """The discount for counts 0, 1, 2, and 3 or more, from the numbers of n-grams seen
+    one to four times; 0.75 where these say nothing, and never all of a count."""
+    n1, n2, n3, n4 = seen
+    if not n1 or not n2:
+        return np.array([0, 0.75, 0.75, 0.75])
+    y = n1 / (n1 + 2 * n2)
+    if not modified:
+        return np.array([0, y, y, y])
+    d = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else y]
+    return np.array([0] + [min(max(d[k], 0.05), k - 0.05) for k in (1, 2, 3)])
+
+
+def log_probabilities(counts: DataFrame, order: int) -> DataFrame:
+    """(ngram, log_p) of every row of ``counts`` (ngram, n): the modified Kneser-Ney model of
+    ``CharModel``, interpolated, by aggregations and joins. Four numbers per order reach the
+    driver, and the totals of the lowest order, whose only context is the empty one."""
+    ngram, n = F.col("ngram"), F.col("n")
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        # Lower orders count in how many different n-grams a suffix ends.
+        suffix = ngram.bitwiseAND(F.lit((1 << BITS * k) - 1))
+        levels[k] = stored(levels[k + 1].groupBy(suffix.alias("ngram")).agg(F.count("*").alias("n")), "ngrams")
+    below = None
+    for k, level in sorted(levels.items()):
+        d = discounts(list(level.agg(*[F.count_if(n == i) for i in (1, 2, 3, 4)]).first()), True).tolist()
+        cut = F.when(n == 1, d[1]).when(n == 2, d[2]).otherwise(d[3])
+        left = (d[1] * F.count_if(n == 1) + d[2] * F.count_if(n == 2) + d[3] * F.count_if(n > 2)) / F.sum("n")
+        if below is None:
+            total, share = level.agg(F.sum("n"), left).first()
+            rows = level.select("ngram", "n", F.lit(total).alias("total"), F.lit(share).alias("left"),
+                                F.lit(1 / CLASSES).alias("below"))
+        else:
+            context = F.shiftright("ngram", BITS).alias("context")
+            suffix = ngram.bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)).alias("suffix")
+            contexts = level.select(context, "n").groupBy("context").agg(F.sum("n").alias("total"), left.alias("left"))
+            rows = level.select("ngram", "n", context, suffix).join(contexts, "context").join(
+                below.select(ngram.alias("suffix"), F.col("p").alias("below")), "suffix")
+        p = (n - cut) / F.col("total") + F.col("left") * F.col("below")
+        below = rows.select("ngram", p.alias("p"))
+        if k < order:
+            below = stored(below, "ngrams")
+    return below.select("ngram", F.log("p").cast("float").alias("log_p"))
+
+
+class StoredScores:
+    """Log probabilities of n-grams in sorted arrays, dealt to parts by a hash and kept as files
+    of the shared folder. Tasks read them there: a model of one part is held while a task
+    runs, otherwise the distinct n-grams of many texts meet one part after the other."""
+
+    def __init__(self, scores: DataFrame, size: int):
+        self.parts = max(1, -(-size // PART_NGRAMS))
+        self.path = work_dir(scores.sparkSession, "ngram-scores")
+        part = F.pmod(F.pmod("ngram", F.lit(DEAL)), F.lit(self.parts))
+        scores.withColumn("part", part).repartition(self.parts, "part").sortWithinPartitions(
+            "part", "ngram").write.partitionBy("part").parquet(self.path)
+
+    def part(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        found = files_in(f"{self.path}/part={k}", ["ngram", "log_p"])
+        if found is None:
+            return np.zeros(0, "i8"), np.zeros(0, "f4")
+        return found["ngram"].to_numpy(), found["log_p"].to_numpy()
+
+    def reader(self):
+        """A function from n-grams to log probabilities. Each must be one of the model's."""
+        if self.parts == 1:
+            keys, log_p = self.part(0)
+            array = HashArray(keys)
+            log_p = log_p[array.order]
+
+            def held(wanted: np.ndarray) -> np.ndarray:
+                at = array.find(wanted)
+                if len(at) and at.min() < 0:
+                    raise ValueError("an n-gram of the texts is not in their model")
+                return log_p[at] if len(at) else np.zeros(0, "f4")
+
+            return held
+
+        def by_parts(wanted: np.ndarray) -> np.ndarray:
+            distinct, place = np.unique(wanted, return_inverse=True)
+            out, dealt = np.zeros(len(distinct), "f4"), distinct % DEAL % self.parts
+            for k in range(self.parts):
+                own = np.flatnonzero(dealt == k)
+                if not len(own):
+                    continue
+                keys, log_p = self.part(k)
+                at = np.searchsorted(keys, distinct[own])
+                if at.max() == len(keys) or (keys[at] != distinct[own]).any():
+                    raise ValueError("an n-gram of the texts is not in their model")
+                out[own] = log_p[at]
+            return out[place]
+
+        return by_parts
+
+
 class CharModel:
     """Kneser-Ney model of one text source.
 
@@ -210,16 +310,7 @@ class CharModel:
 
     @staticmethod
     def _discounts(c: np.ndarray, modified: bool) -> np.ndarray:
-        """The discount for counts 0, 1, 2, and 3 or more, from the numbers of n-grams seen
-        one to four times; 0.75 where these say nothing, and never all of a count."""
-        n1, n2, n3, n4 = (int((c == k).sum()) for k in (1, 2, 3, 4))
-        if not n1 or not n2:
-            return np.array([0, 0.75, 0.75, 0.75])
-        y = n1 / (n1 + 2 * n2)
-        if not modified:
-            return np.array([0, y, y, y])
-        d = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else y]
-        return np.array([0] + [min(max(d[k], 0.05), k - 0.05) for k in (1, 2, 3)])
+        return discounts([int((c == k).sum()) for k in (1, 2, 3, 4)], modified)
 
     def _unseen(self) -> float:
         left = self.levels[1][3]

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,6 +54,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def files_in(path: str, columns: list[str]) -> pa.Table | None:
+    """The rows of a folder of Parquet files in the shared folder, read by a task; None if
+    there is no such folder."""
+    fs, where = pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+    if fs.get_file_info(where).type == pafs.FileType.NotFound:
+        return None
+    return pq.read_table(where, columns=columns, filesystem=fs, partitioning=None)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about equal bytes in ``column``."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), "i8")
@@ -65,17 +76,32 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """Put batches together until ``column`` has ``least`` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += pc.sum(pc.binary_length(batch[column])).as_py() or 0
+        if total >= least:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_texts(
     df: DataFrame,
     column: str,
     make: Callable[[], Callable[[list], dict]],
     schema: str,
     keep: list[str] | None = None,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """Add columns computed from ``column`` by Arrow batches.
 
     ``make()`` runs once per task and returns a function from a list of texts (None for null)
-    to a dict of columns. ``keep`` names the columns passed through (default: all).
+    to a dict of columns. ``keep`` names the columns passed through (default: all). With
+    ``most`` above ``SLICE_BYTES`` texts of several batches are handed over together.
     """
     keep = df.columns if keep is None else keep
     fields = to_arrow_schema(StructType.fromDDL(schema))
@@ -85,8 +111,8 @@ def map_texts(
 
     def run(batches):
         work = make()
-        for batch in batches:
-            for part in slices(batch, column):
+        for batch in gathered(batches, column, most) if most > SLICE_BYTES else batches:
+            for part in slices(batch, column, most):
                 got = work(part[column].to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in keep] + [pa.array(got[f.name], f.type) for f in fields],

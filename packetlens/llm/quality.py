@@ -1,7 +1,8 @@
 """Quality rules: plain text statistics, and perplexity bands by language.
 
-A modified Kneser-Ney model over the character n-grams of all texts is counted by Spark,
-stored in sorted hash arrays and used to score every text. For each language the centre of
+A modified Kneser-Ney model over the character n-grams of all texts is counted and smoothed by
+Spark. It keeps every n-gram, each with its exact count, in hash-partitioned sorted arrays of
+the shared folder, from which every text is scored. For each language the centre of
 the log perplexity is its median and the spread its median absolute deviation; texts outside
 the band of ``WIDTH`` spreads around the centre are rejected, below it (boilerplate, loops)
 as well as above it (noise). A mean over few characters strays more, so a band is wider for
@@ -24,11 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetlens.llm import char_lm
-from packetlens.llm.common import fresh, map_texts, stored
+from packetlens.llm.common import SLICE_BYTES, fresh, map_texts, stored
 
 ORDER = 5
-# Hash slots of the model: its greatest number of n-grams.
-SLOTS = 1 << 22
+# Bytes of texts that are scored together by a model of several parts.
+SCORED_BYTES = 8 << 20
 # Half the width of a band, in spreads.
 WIDTH = 5.0
 # Standard deviation, in nats, of one character's log probability, and how many standard
@@ -73,40 +74,40 @@ def dup_lines(text: str) -> int:
 
 
 def base_statistics(texts: list[str]) -> dict:
-    words = [WORD.findall(t) for t in texts]
-    return {
-        "n_words": [len(w) for w in words],
-        "word_chars": [sum(map(len, w)) for w in words],
-        "n_symbols": [len(SYMBOL.findall(t)) for t in texts],
-        "n_dup_lines": [dup_lines(t) for t in texts],
-        "n_repeat_words": [repeat_words(w) for w in words],
-    }
-
-
-def fit(docs: DataFrame) -> char_lm.CharModel:
-    """The model of all texts. What reaches the driver has at most ``SLOTS`` rows."""
+    out: dict[str, list[int]] = {
+        n: [] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+    for t in texts:
+        words = WORD.findall(t)
+        out["n_words"].append(len(words))
+        out["word_chars"].append(sum(map(len, words)))
+        out["n_symbols"].append(len(SYMBOL.findall(t)))
+        out["n_dup_lines"].append(dup_lines(t))
+        out["n_repeat_words"].append(repeat_words(words))
+    return out
+
+
+def fit(docs: DataFrame) -> char_lm.StoredScores:
+    """The model of all texts, with all their n-grams. It does not reach the driver."""
     rows = docs.select("text", F.lit("all").alias("grp"))
-    counts = char_lm.in_slots(
-        char_lm.count_ngrams(rows, "grp", "text", ORDER, False), SLOTS
-    ).select("ngram", "n").toArrow()
-    return char_lm.CharModel(counts["ngram"].to_numpy(), counts["n"].to_numpy(), ORDER, True)
+    counts = stored(char_lm.count_ngrams(rows, "grp", "text", ORDER, False).select("ngram", "n"), "ngrams")
+    return char_lm.StoredScores(char_lm.log_probabilities(counts, ORDER), counts.count())
 
 
-def statistics(docs: DataFrame, model: char_lm.CharModel, keep: list[str], stats: str) -> DataFrame:
-    """Base statistics and nats per character of every text, in a struct named ``stats``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def statistics(docs: DataFrame, model: char_lm.StoredScores, keep: list[str], stats: str) -> DataFrame:
+    """Base statistics and nats per character of every text, in a struct named ``stats``.
+    ``model`` is fitted on the same texts."""
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     own = {n: fresh([*docs.columns, *names], f"stats_{n}") for n in names}
 
     def make():
-        table, lm = char_lm.class_table(False), shared.value
+        table, log_p_of = char_lm.class_table(False), model.reader()
 
         def work(texts):
             texts = [t or "" for t in texts]
             out = base_statistics(texts)
             codes = char_lm.codes_of(texts, ORDER, table, False)
             real = codes[ORDER - 1:] != char_lm.PAD
-            log_p = lm.log_p(char_lm.packed(codes, ORDER)[real])
+            log_p = log_p_of(char_lm.packed(codes, ORDER)[real])
             lengths = np.array([len(t) for t in texts])
             nats = -char_lm.segment_sums(log_p, lengths) / np.maximum(lengths, 1)
             out["n_scored"] = lengths
@@ -116,7 +117,8 @@ def statistics(docs: DataFrame, model: char_lm.CharModel, keep: list[str], stats
         return work
 
     schema = ", ".join(f"{own[n]} {t}" for n, t in (f.split() for f in SCHEMA.split(", ")))
-    rows = map_texts(docs, "text", make, schema, keep)
+    most = SLICE_BYTES if model.parts == 1 else SCORED_BYTES
+    rows = map_texts(docs, "text", make, schema, keep, most)
     return rows.select(*[f"`{c}`" for c in keep], F.struct(*[F.col(own[n]).alias(n) for n in names]).alias(stats))
 
 

@@ -149,6 +149,24 @@ def test_quality_bands_reject_noise(spark, frame):
     assert quality.judge(docs.limit(0))[0].count() == 0
 
 
+def test_quality_model_keeps_every_ngram(spark, frame, monkeypatch):
+    r = random.Random(7)
+    texts = ["".join(chr(r.randint(97, 400)) for _ in range(r.randint(1, 900))) + " é" * (i % 3) for i in range(150)]
+    docs = frame([*enumerate(texts), (900, None), (901, "")])
+    codes = char_lm.codes_of(texts, 5, char_lm.class_table(False), False)
+    keys = char_lm.packed(codes, 5)[codes[4:] != char_lm.PAD]
+    exact = char_lm.CharModel(*np.unique(keys, return_counts=True), 5, True)
+    want = -char_lm.segment_sums(exact.log_p(keys), np.array(list(map(len, texts)))) / list(map(len, texts))
+    for most in (char_lm.PART_NGRAMS, 7_000):
+        monkeypatch.setattr(char_lm, "PART_NGRAMS", most)
+        model = quality.fit(docs)
+        assert (model.parts > 1) == (most == 7_000)
+        assert sum(len(model.part(k)[0]) for k in range(model.parts)) == len(np.unique(keys))
+        got = rows_by(quality.statistics(docs, model, ["doc_id"], "q"), "doc_id")
+        assert np.allclose([got[i].q.nats for i in range(len(texts))], want, rtol=0, atol=1e-5)
+        assert got[900].q.nats is None and got[901].q.nats is None
+
+
 # --- 4 token files ------------------------------------------------------------------------
 
 

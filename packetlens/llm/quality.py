@@ -2,11 +2,11 @@
 
 A modified Kneser-Ney model over the character n-grams of all texts is counted and smoothed by
 Spark. It keeps every n-gram, each with its exact count, in hash-partitioned sorted arrays of
-the shared folder, from which every text is scored. For each language the centre of
-the log perplexity is its median and the spread its median absolute deviation; texts outside
-the band of ``WIDTH`` spreads around the centre are rejected, below it (boilerplate, loops)
-as well as above it (noise). A mean over few characters strays more, so a band is wider for
-a short text by ``ERRORS`` standard errors.
+the shared folder, from which every text is scored. For each language and length the centre
+of the log perplexity is its median and the spread half the distance of its quartiles; texts
+outside the band of ``WIDTH`` spreads around the centre are rejected, below it (boilerplate, loops) as well as above it (noise). A mean over few
+characters strays more, so lengths have bands of their own, in bins of half an octave. A bin of
+fewer than ``BAND_TEXTS`` texts takes in the bins around it until it has as many.
 
 * Words are runs of characters other than space and \\t to \\r. A null text has none.
 * Null languages form a group of their own. A text without words has perplexity null and
@@ -32,12 +32,13 @@ ORDER = 5
 SCORED_BYTES = 8 << 20
 # Half the width of a band, in spreads.
 WIDTH = 5.0
-# Standard deviation, in nats, of one character's log probability, and how many standard
-# errors of a text's mean its band is widened by.
-CHARACTER_SPREAD = 1.7
-ERRORS = 4.0
-# The least spread of log perplexity, in nats.
-LEAST_SPREAD = 0.02
+# Bins of length to a doubling, texts that a bin's quartiles are taken from at least, and by
+# how many bins to each side it is widened to get them.
+LENGTH_BINS = 2
+BAND_TEXTS = 50
+REACH = (0, 1, 2, 4, 8, 16, 1000)
+# The least spread of log perplexity, in nats: twice the width of its bins.
+LEAST_SPREAD = 0.002
 # Width, in nats, of the bins in which texts are counted to find quartiles.
 BIN = 0.001
 MIN_WORDS = 50
@@ -128,22 +129,35 @@ def base_failed(stats: Column) -> Column:
     )
 
 
+def length_bin(stats: Column) -> Column:
+    return F.floor(LENGTH_BINS * F.log2(F.greatest(stats["n_scored"], F.lit(1))))
+
+
 def bands(rows: DataFrame, stats: str, width: float = WIDTH) -> DataFrame:
-    """(band_lang, low, high) over all texts that pass the base rules."""
+    """(band_lang, band_length, low, high) over all texts that pass the base rules."""
     nats = F.col(stats)["nats"]
     sound = rows.where(~base_failed(F.col(stats))).select(
-        F.coalesce("lang", F.lit("")).alias("band_lang"), nats.alias("nats"))
+        F.coalesce("lang", F.lit("")).alias("band_lang"), length_bin(F.col(stats)).alias("length"), nats.alias("nats"))
     # Counts of narrow bins give the same quartiles however rows are dealt to tasks.
-    bins = sound.groupBy("band_lang", F.floor(F.col("nats") / BIN).alias("bin")).agg(F.count("*").alias("n"))
-    own = Window.partitionBy("band_lang")
+    counted = stored(sound.groupBy("band_lang", "length", F.floor(F.col("nats") / BIN).alias("bin")).agg(
+        F.count("*").alias("n")), "quality-bins")
+    sizes = counted.groupBy("band_lang", "length").agg(F.sum("n").alias("size"))
+    away = F.abs(F.col("length") - F.col("band_length"))
+    enough = F.coalesce(*[
+        F.when(F.sum(F.when(away <= r, F.col("size"))) >= BAND_TEXTS, F.lit(r)) for r in REACH], F.lit(REACH[-1]))
+    reach = sizes.select("band_lang", F.col("length").alias("band_length")).join(sizes, "band_lang").groupBy(
+        "band_lang", "band_length").agg(enough.alias("reach"))
+    bins = counted.join(reach, "band_lang").where(away <= F.col("reach")).groupBy(
+        "band_lang", "band_length", "bin").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("band_lang", "band_length")
     ranked = bins.withColumn("below", F.sum("n").over(own.orderBy("bin"))).withColumn("all", F.sum("n").over(own))
-    quarters = ranked.groupBy("band_lang").agg(F.array(*[
+    quarters = ranked.groupBy("band_lang", "band_length").agg(F.array(*[
         F.min(F.when(4 * F.col("below") >= k * F.col("all"), F.col("bin"))) * BIN + BIN / 2 for k in (1, 2, 3)
     ]).alias("q"))
     q = F.col("q")
     # Half the distance of the quartiles is the median absolute deviation of an even spread.
     spread = F.greatest((q[2] - q[0]) / 2, F.lit(LEAST_SPREAD)) * width
-    return quarters.select("band_lang", (q[1] - spread).alias("low"), (q[1] + spread).alias("high"))
+    return quarters.select("band_lang", "band_length", (q[1] - spread).alias("low"), (q[1] + spread).alias("high"))
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None, width: float = WIDTH) -> tuple[DataFrame, str]:
@@ -156,10 +170,9 @@ def judge(docs: DataFrame, keep: list[str] | None = None, width: float = WIDTH)
     s, nats = F.col(stats), F.col(stats)["nats"]
     key = fresh(docs.columns, "band_key")
     judged = rows.withColumn(key, F.coalesce("lang", F.lit(""))).join(
-        found, F.col(key) == F.col("band_lang"), "left")
+        found, (F.col(key) == F.col("band_lang")) & (length_bin(s) == F.col("band_length")), "left")
     failed = base_failed(s)
-    error = ERRORS * CHARACTER_SPREAD / F.sqrt(F.greatest(s["n_scored"], F.lit(1)))
-    inside = F.coalesce(nats.between(F.col("low") - error, F.col("high") + error), F.lit(False))
+    inside = F.coalesce(nats.between(F.col("low"), F.col("high")), F.lit(False))
     return judged.select(
         *[f"`{c}`" for c in keep],
         s.withField("perplexity", F.exp(nats)).withField("base_failed", failed)

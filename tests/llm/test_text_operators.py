@@ -167,6 +167,21 @@ def test_quality_model_keeps_every_ngram(spark, frame, monkeypatch):
         assert got[900].q.nats is None and got[901].q.nats is None
 
 
+def test_quality_bands_follow_length(spark, frame):
+    r = random.Random(11)
+    plain = [(i, rnd(i, r.randint(55, 500))) for i in range(600)]
+    noise = [(1000 + i, re.sub(" ", lambda m: r.choice(["Q ", " ", " ", " "]), rnd(1000 + i, 70))) for i in range(6)]
+    judged, q = quality.judge(frame([*plain, *noise]), ["doc_id", "lang"])
+    got = rows_by(judged, "doc_id")
+    middle = np.median([got[i][q].nats for i, _ in plain])
+    for i, t in noise:
+        # Inside a band that is widened by four standard errors of 1.7 nats a character.
+        assert 0 < got[i][q].nats - middle < 5 * 0.02 + 4 * 1.7 / len(t) ** 0.5
+        assert not got[i][q].kept and not got[i][q].base_failed
+    sound = [i for i, _ in plain if not got[i][q].base_failed]
+    assert len(sound) > 500 and sum(got[i][q].kept for i in sound) > 0.97 * len(sound)
+
+
 # --- 4 token files ------------------------------------------------------------------------
 
 

@@ -1,9 +1,10 @@
-"""Similarity join on word n-grams: an LSH forest of MinHash signatures, then exact Jaccard.
+"""Similarity join on word n-grams: MinHash signatures in LSH bands, then exact Jaccard.
 
 Texts are sets of five-word runs. Equal texts form one node, known by their digest. A node's
-signature gives each of ``TREES`` trees a label of ``LONGEST`` minima; a tree's labels, sorted,
-are a prefix trie. Matched prefixes start at full length and are shortened until two texts
-at the threshold share one in some tree with probability ``RECALL``.
+signature gives each of ``TREES`` bands ``LONGEST`` minima. Nodes meet by equal prefixes of a
+band; one length serves all texts, the greatest at which two texts at the threshold share a
+prefix in some band with probability ``RECALL``. This is fixed banding and not an LSH
+forest: nothing adapts to a text, and minima beyond the prefix serve the estimate only.
 
 Nodes with a common prefix are gathered in candidate groups: along a run of equal prefixes,
 leaders stand for the texts like them, and a text joins every leader whose estimated

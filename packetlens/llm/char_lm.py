@@ -128,16 +128,6 @@ def count_ngrams(df: DataFrame, group: str, text: str, order: int, letters_only:
     )
 
 
-def in_slots(counts: DataFrame, slots: int) -> DataFrame:
-    """Fit the counts of each group into ``slots`` hash slots. N-grams that share a slot share
-    its count and are known by the greatest of them, so a model has a fixed greatest size
-    and no n-gram's count is lost."""
-    slot = F.pmod(F.xxhash64("ngram"), F.lit(slots))
-    return counts.groupBy("grp", slot.alias("slot")).agg(
-        F.max("ngram").alias("ngram"), F.sum("n").alias("n")
-    ).drop("slot")
-
-
 class HashArray:
     """Keys in the order of their hashes, with the place of each."""
 

@@ -27,8 +27,6 @@ ORDER = 4
 SAMPLE_ROWS = 3000
 # Languages up to which their sizes are broadcast; beyond, texts are joined to them.
 MANY_LANGS = 10_000
-# Hash slots for the n-grams of one language.
-SLOTS = 1 << 20
 # One sampled row in so many calibrates instead of being counted.
 CALIBRATE_ONE_IN = 6
 # Share of rightly labelled calibration rows that may be rejected.
@@ -109,9 +107,7 @@ def labelled_sample(docs: DataFrame, eligible: Column, rows: int) -> DataFrame:
 def fit(docs: DataFrame, eligible: Column, rows: int = SAMPLE_ROWS) -> Identifier:
     """Learn from the rows of ``docs`` (doc_id, text, lang) for which ``eligible`` is true."""
     sample = stored(labelled_sample(docs, eligible, rows), "language-sample")
-    counts = char_lm.in_slots(
-        char_lm.count_ngrams(sample.where(~F.col("calibrates")), "lang", "text", ORDER, True), SLOTS
-    ).toArrow()
+    counts = char_lm.count_ngrams(sample.where(~F.col("calibrates")), "lang", "text", ORDER, True).toArrow()
     names = np.array(counts["grp"].to_pylist(), object)
     ngrams, n = counts["ngram"].to_numpy(), counts["n"].to_numpy()
     langs = sorted(set(names.tolist()))

@@ -80,6 +80,16 @@ def test_language_id_corner_cases(spark, frame):
     assert language_id.predict(docs.limit(0), found).count() == 0
 
 
+def test_language_id_keeps_every_ngram_of_the_sample(spark, frame):
+    r = random.Random(9)
+    docs = frame([(i, "".join(chr(r.randint(0x4E00, 0x5200)) for _ in range(400)), "zz") for i in range(60)])
+    found = language_id.fit(docs, F.lit(True))
+    counted = language_id.labelled_sample(docs, F.lit(True), language_id.SAMPLE_ROWS).where("not calibrates")
+    codes = char_lm.codes_of([x.text for x in counted.collect()], 4, char_lm.class_table(True), True)
+    keys = np.unique(char_lm.packed(codes, 4)[codes[3:] != char_lm.PAD])
+    assert len(keys) > 15_000 and np.array_equal(np.sort(found.models[0].levels[4][0].keys), keys)
+
+
 def test_char_model_is_a_distribution():
     codes = char_lm.codes_of(["abracadabra", "banana band"], 3, char_lm.class_table(False), False)
     keys = char_lm.packed(codes, 3)[codes[2:] != char_lm.PAD]

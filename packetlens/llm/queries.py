@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetlens.llm import (
-    byte_bpe, chat, decontaminate, language_id, ngram_join, pii, quality, token_counts, token_files,
-    url_filter,
+    alignment, byte_bpe, chat, decontaminate, hard_negatives, language_id, ngram_join, pii, quality,
+    substring_dedup, token_counts, token_files, url_filter,
 )
-from packetlens.llm.common import table
+from packetlens.llm.common import stored, table
 from packetlens.session import work_dir
 
 # The rules given for pages, by host and path.
@@ -99,6 +99,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, name = alignment.align(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    groups = F.col(f"{name}.groups")
+    rows = stored(rows.select(
+        "doc_id", F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
+        F.col(name).dropFields("groups").alias(name)), "aligned")
+    counts = stored(alignment.link_counts(rows, name), "link-counts")
+    rows, linked = alignment.with_counts(rows, name, counts)
+    return rows.select(
+        "doc_id", *[f"{name}.{c}" for c in ("n_a", "n_b", "n_groups", "n_links")], f"{linked}.*", "groups_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, name = substring_dedup.remove_repeats(docs)
+    return rows.select(
+        "doc_id", f"{name}.n_words", f"{name}.n_removed", F.sha2(f"{name}.kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -110,6 +137,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op11_alignment": op11_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -64,3 +64,45 @@ def shingles(words: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.nda
         order = np.argsort(text, kind="stable")
         h, text = h[order], text[order]
     return h, text
+
+
+def rolled(words: np.ndarray, length: int) -> np.ndarray:
+    """The hash of every run of ``length`` words, by runs of twice the length from two halves;
+    empty if there are fewer words."""
+    n = len(words) - length + 1
+    if n <= 0:
+        return np.zeros(0, "u8")
+    out, done, part, size = np.zeros(n, "u8"), 0, words, 1
+    while done < length:
+        if length & size:
+            power = np.uint64(pow(int(MIX), size, 1 << 64))
+            out = out * power + part[done:done + n]
+            done += size
+        if done < length:
+            power = np.uint64(pow(int(MIX), size, 1 << 64))
+            part = part[:-size] * power + part[size:]
+            size *= 2
+    return mixed(out)
+
+
+def word_table(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hash of every word of all texts in order, each text's number of words, the bytes of
+    all words with a space after each, and where each word begins there (and the last ends).
+    A text is a string, UTF-8 bytes, or None for no words."""
+    raw = [t.encode() if isinstance(t, str) else t or b"" for t in texts]
+    data = np.frombuffer(b"\n".join(raw) + b"\n", "u1")
+    inside = ~BLANK[data]
+    edge = np.diff(inside.view("i1"), prepend=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    last = np.cumsum([len(r) + 1 for r in raw]) if raw else np.zeros(0, "i8")
+    counts = np.diff(np.searchsorted(starts, last), prepend=0)
+    at = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+    inside[ends] = True
+    kept = data[inside]
+    kept[at[1:] - 1] = 32
+    if not len(starts):
+        return np.zeros(0, "u8"), counts, kept, at
+    place = np.arange(len(kept)) - np.repeat(at[:-1], np.diff(at))
+    power = np.cumprod(np.full(int(np.diff(at).max()), BASE, "u8"))
+    h = np.add.reduceat((kept.astype("u8") + np.uint64(1)) * power[place], at[:-1])
+    return mixed(h), counts, kept, at

@@ -38,8 +38,9 @@ def arguments() -> argparse.ArgumentParser:
     batch.add_argument("--serving")
 
     stream = commands.add_parser("stream", help="run streaming jobs over the topic")
-    stream.add_argument("job", choices=list(jobs.JOBS), nargs="+",
-                        help="one window job, or counting jobs that share the stream")
+    stream.add_argument("job", choices=[*jobs.JOBS, "window_totals"], nargs="+",
+                        help="one stateful job, counting jobs that share the stream, or "
+                             "window_totals, which fills four window tables")
     stream.add_argument("--serving", required=True)
     stream.add_argument("--duration", default=DURATION)
     stream.add_argument("--watermark", default=jobs.WATERMARK, help="a delay, or none")
@@ -60,6 +61,8 @@ def arguments() -> argparse.ArgumentParser:
     chunk = commands.add_parser("chunk", help="cut captures into chunk files")
     chunk.add_argument("--input_path", required=True, nargs="+")
     chunk.add_argument("--output_path", required=True)
+    chunk.add_argument("--exact", action="store_true",
+                       help="full chunks of consecutive rows, one folder each")
 
     create = commands.add_parser("create", help="make serving tables exist and empty")
     create.add_argument("--serving", required=True)
@@ -94,12 +97,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         source = topic.read_topic(spark, args.format, **_options(args.option))
         packets, serving = topic.topic_packets(source), Serving(spark, args.serving)
+        watermark = None if args.watermark == "none" else args.watermark
+        if args.job == ["window_totals"]:
+            _run(jobs.totals_writer(packets, serving, args.checkpoint, args.duration, watermark), args)
+            return
         chosen = [jobs.JOBS[name] for name in args.job]
         if len(chosen) == 1:
-            writer = jobs.writer(
-                chosen[0], packets, serving, args.checkpoint, args.duration,
-                None if args.watermark == "none" else args.watermark,
-            )
+            writer = jobs.writer(chosen[0], packets, serving, args.checkpoint, args.duration, watermark)
         else:
             writer = jobs.shared_writer(chosen, packets, serving, args.checkpoint)
         _run(writer, args)
@@ -110,7 +114,11 @@ def main(argv: list[str] | None = None) -> None:
         source = topic.read_topic(spark, args.format, **_options(args.option))
         _run(archive.archive_writer(source, args.output_path, args.checkpoint), args)
     elif args.command == "chunk":
-        capture.write_chunks(capture.read_captures(spark, args.input_path), args.output_path)
+        if args.exact:
+            numbered = capture.numbered_captures(spark, args.input_path)
+            capture.write_exact_chunks(numbered, args.output_path)
+        else:
+            capture.write_chunks(capture.read_captures(spark, args.input_path), args.output_path)
     else:
         serving = Serving(spark, args.serving)
         action = serving.create if args.command == "create" else serving.compact

@@ -103,3 +103,24 @@ def gap_conversations(rows: DataFrame, gap_seconds: int) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("ts", "seq", "message")))
     grouped = gap_messages(rows, gap_seconds).groupBy(*KEY, "start", "n_messages").agg(ordered.alias("m"))
     return grouped.select(*KEY, "start", "n_messages", F.col("m.message").alias("messages"))
+
+
+def closed_conversations(packets: DataFrame, gap: str, watermark: str | None = None) -> DataFrame:
+    """query_id, client, server, start, n_messages and the messages in capture order, one row
+    per conversation of two or more messages, which a pause longer than ``gap`` ends.
+
+    Made for streams: a query waits under its key in the state store until its response
+    comes, in whichever micro-batch, and messages that arrive out of order join or bridge what
+    is there. Once the watermark has passed the last message by the gap, append mode gives the
+    conversation out and its state is freed. Messages later than the watermark are dropped.
+    State holds the messages of open conversations; a row is as long as its conversation. On
+    static input the rows are those of ``gap_conversations``, but for messages without a time.
+    """
+    if watermark is not None and packets.isStreaming:
+        packets = packets.withWatermark("ts", watermark)
+    rows = messages(packets, "seq", "ts")
+    ordered = F.array_sort(F.collect_list(F.struct("ts", "seq", "message")))
+    grouped = rows.groupBy(*KEY, F.session_window("ts", gap).alias("session")).agg(
+        F.count("*").alias("n_messages"), ordered.alias("m")).where(F.col("n_messages") > 1)
+    return grouped.select(
+        *KEY, F.col("session.start").alias("start"), "n_messages", F.col("m.message").alias("messages"))

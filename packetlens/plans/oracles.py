@@ -197,6 +197,13 @@ g AS (SELECT {_bounds(_DAY)}, message, length, count(*) AS n FROM pk GROUP BY 1,
 SELECT "start", "end", CAST(sum(length) AS BIGINT) AS bytes, CAST(sum(n) AS BIGINT) AS packets
 FROM g GROUP BY 1, 2"""
 
+# Every fifth packet was sent twice: its line counts once, its packet twice.
+_BYTES_SENT_TWICE = _with(f"""
+g AS (SELECT {_bounds(_DAY)}, message, length, sum(CASE WHEN seq % 5 = 0 THEN 2 ELSE 1 END) AS n
+      FROM pk GROUP BY 1, 2, 3, 4)""") + """
+SELECT "start", "end", CAST(sum(length) AS BIGINT) AS bytes, CAST(sum(n) AS BIGINT) AS packets
+FROM g GROUP BY 1, 2"""
+
 _NAMES_DISTINCT = _with(
     f"once AS (SELECT DISTINCT {_bounds(_DAY)}, message, t FROM pk)",
     _records("once", '"start", "end"'),
@@ -248,6 +255,32 @@ _SHARED = " UNION ALL ".join(
     )
 )
 
+def _checked(no_record: str) -> str:
+    return f"""
+WITH judged AS (
+  SELECT event_id AS seq, CASE
+    WHEN {no_record} THEN 'no record' WHEN event_id % 17 = 0 OR event_id % 11 = 0 THEN 'too few fields'
+    WHEN event_id % 13 = 0 THEN 'length'
+    -- The blank text is gone with the end of the line, and an empty one is left.
+    WHEN event_id % 19 = 0 THEN 'no text' END AS reason FROM events)
+SELECT seq, CASE WHEN reason IS NULL THEN 'parsed' ELSE 'quarantined' END AS state, reason,
+       count(*) OVER () AS n_read, count(*) FILTER (reason IS NULL) OVER () AS n_parsed,
+       count(reason) OVER () AS n_quarantined
+FROM judged"""
+
+
+_NO_TEXT, _NO_NUMBER = "CAST(NULL AS VARCHAR)", "CAST(NULL AS BIGINT)"
+_WINDOW_TOTALS = " UNION ALL ".join(
+    f"""SELECT '{kind}' AS kind, "start", "end", {key} AS key, {name} AS name, {a} AS a, {b} AS b FROM ({sql})"""
+    for kind, key, name, a, b, sql in (
+        ("window_bytes_packets", _NO_TEXT, _NO_TEXT, "bytes", "packets", _window_bytes(_DAY)),
+        ("window_exchanged_packets", "address", _NO_TEXT, "packets_sent", "packets_received",
+         _window_exchanged(_DAY)),
+        ("window_message_types", "type", _NO_TEXT, "count", _NO_NUMBER, _window_types(_DAY)),
+        ("window_names", "type", "request_response", "requests", _NO_NUMBER, _window_names(_DAY)),
+    )
+)
+
 _HOSTS_DNS = _hosts("protocol = 'DNS'", _NAME_COUNT)
 _HOSTS = _hosts("true", _NAME_COUNT)
 _NAMESERVER_ACTIVITY = _with(_NAMESERVERS) + _ALL_BRANCHES
@@ -270,6 +303,8 @@ FROM pk WHERE t[1] IN ('Standard', 'DNS', 'Inverse')""",
     "chunk_assign": """
 SELECT event_id AS seq, (row_number() OVER (ORDER BY event_id) - 1) // 4000 AS chunk_id
 FROM events""",
+    "parse_checked": _checked("false"),
+    "stream_parse_checked": _checked("event_id % 23 = 0"),
     "directed_traffic": _with(_DIRECTED) + "SELECT src, dst, total, n AS count FROM d",
     "pair_traffic": _pairs(_NUMERIC),
     "pair_traffic_join": _pairs(_NUMERIC, self_pairs=False),
@@ -283,6 +318,12 @@ FROM events""",
     "unique_hosts_ranked": _HOSTS,
     "unique_hosts_dns": _HOSTS_DNS,
     "hive_style_views": _hosts("true", "type, name, count(*) AS n"),
+    "hive_pair_views": _AVERAGES,
+    # Files by the hour, rows in capture order within.
+    "capture_chunks": _with() + """
+SELECT (row_number() OVER (ORDER BY hour(ts), seq) - 1) // 4000 AS chunk, src, dst, protocol,
+       CAST(length AS VARCHAR) AS length, r.info
+FROM pk JOIN (SELECT seq AS s, info FROM raw) r ON pk.seq = r.s""",
     "host_pairs": _with(_RECORDS) + """
 SELECT DISTINCT type, name AS request_response, src AS host FROM rec""",
     "host_lists": _hosts("true", f"""{_NAME_COUNT}, CAST(0 AS BIGINT) AS part,
@@ -341,6 +382,7 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_message_types": _MESSAGE_TYPES,
     "stream_errors": _ERRORS,
     "stream_nameservers": _NAMESERVER_ACTIVITY,
+    "stream_nameservers_from_evidence": _NAMESERVER_ACTIVITY,
     "stream_name_counts": _NAME_COUNTS,
     "stream_categories": _CATEGORIES,
     "stream_shared": _SHARED,
@@ -351,6 +393,11 @@ FROM rec WHERE name = 'google.com' AND type = 'A' GROUP BY name, type""",
     "stream_window_exchanged_packets": _window_exchanged(_DAY),
     "stream_window_message_types": _window_types(_DAY),
     "stream_window_names": _window_names(_DAY),
+    "stream_conversations_closed": _CONVERSATIONS_GAP,
+    "stream_window_bytes_packets_distinct": _BYTES_SENT_TWICE,
+    "stream_window_message_types_distinct": _window_types(_DAY, "count(DISTINCT message)"),
+    "stream_window_names_distinct": _NAMES_DISTINCT,
+    "stream_window_totals": _WINDOW_TOTALS,
     "stream_resume": _window_names(_DAY),
     "late_rows_dropped": _LATE,
     "archive_roundtrip": _with() + "SELECT src, dst, protocol, length, info FROM pk",

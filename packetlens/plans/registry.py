@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from packetlens.operators import (
     chunks, conversations, hosts, messages, names, nameservers, pairs, windows,
 )
 from packetlens.plans import batch_jobs
-from packetlens.plans.hive_views import unique_hosts_by_views
+from packetlens.plans.hive_views import pair_averages_by_tables, unique_hosts_by_views
 from packetlens.session import work_dir
-from packetlens.sources import archive, capture, derived, output, topic
+from packetlens.sources import archive, capture, checked, derived, output, topic
 from packetlens.streaming import jobs
 from packetlens.streaming.serving import SERVING, Serving, upsert_add, upsert_replace
 
@@ -75,6 +76,48 @@ def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.chunk_ids(derived.packet_lines(spark, sf_dir)).select("seq", "chunk_id")
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet lines, some of them cut short, with no whole length, without text, or empty."""
+    rows = derived.typed_packets(spark, sf_dir)
+    seq, whole = F.col("seq"), F.concat_ws(",", *FIELDS)
+    line = (
+        F.when(seq % 17 == 0, "").when(seq % 11 == 0, F.concat_ws(",", *FIELDS[:3]))
+        .when(seq % 13 == 0, F.concat_ws(",", *FIELDS[:3], F.lit("6 0"), "info"))
+        .when(seq % 19 == 0, F.concat_ws(",", *FIELDS[:4], F.lit(" "))).otherwise(whole)
+    )
+    return rows.select("seq", "ts", line.alias("message"))
+
+
+def parse_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line once, parsed or quarantined, beside the counts of the pass that told."""
+    path = work_dir(spark, "checked")
+    counts = checked.write_checked(damaged_lines(spark, sf_dir), path)
+    return checked.read_checked(spark, path).select(
+        "seq", "state", "reason", *[F.lit(n).cast("bigint").alias(f"n_{k}") for k, n in counts.items()])
+
+
+def stream_parse_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a topic in which every 23rd record is none, with the counts that three
+    runs reported."""
+    root = work_dir(spark, "checked")
+    lines = damaged_lines(spark, sf_dir).withColumns({
+        "partition": (F.col("seq") % derived.TOPIC_PARTITIONS).cast("int"),
+        "offset": F.floor(F.col("seq") / derived.TOPIC_PARTITIONS), "timestamp": F.col("ts").cast("timestamp")})
+    record = F.when(F.col("seq") % 23 == 0, F.lit("{")).otherwise(envelope.to_stream(F.col("message")))
+    records = lines.select(record.cast("binary").alias("value"), "timestamp", "partition", "offset")
+    counts: dict[str, int] = {}
+    for k in SLICES:
+        records.where(day_slice() == k).write.mode("append").parquet(f"{root}/topic")
+        source = topic.read_topic(spark, "parquet", path=f"{root}/topic")
+        query = jobs.run_available(checked.checked_writer(source, f"{root}/out", f"{root}/checkpoint"))
+        for progress in query.recentProgress:
+            for name, n in progress.observedMetrics.get("lines", {}).asDict().items() if progress.observedMetrics else ():
+                counts[name] = counts.get(name, 0) + n
+    seq = F.col("offset") * derived.TOPIC_PARTITIONS + F.col("partition")
+    return checked.read_checked(spark, f"{root}/out").select(
+        seq.alias("seq"), "state", "reason", *[F.lit(n).cast("bigint").alias(f"n_{k}") for k, n in counts.items()])
+
+
 # --- batch results that need more than the packets -----------------------------------
 
 
@@ -115,6 +158,12 @@ def hive_style_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_hosts_by_views(lines.select(F.col("value").alias("fields")))
 
 
+def hive_pair_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_dir(spark, 'archive')}/archive"
+    derived.archive_lines(spark, sf_dir).select("value").write.text(path)
+    return pair_averages_by_tables(spark, path)
+
+
 # --- streams -------------------------------------------------------------------------
 
 
@@ -183,6 +232,71 @@ def stream_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# A packet so much later than all others that it closes what they opened.
+CLOSING = "2100-01-01 00:00:00"
+# Every so manieth record is sent once more, one slice later.
+AGAIN = 5
+
+
+def closing_record(spark: SparkSession) -> DataFrame:
+    """One query without a response: it moves the watermark and is given out nowhere."""
+    line = "192.0.2.1,192.0.2.2,DNS,60,Standard query 0xffffff A closing.invalid"
+    return spark.range(1).select(
+        envelope.to_stream(F.lit(line)).cast("binary").alias("value"),
+        F.lit(CLOSING).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("partition"), F.lit(topic.OFFSET_RANGE - 1).alias("offset"))
+
+
+def run_and_close(
+    spark: SparkSession, sf_dir: str, name: str, duration: str = DAY, again: bool = False
+) -> Serving:
+    """Three runs over slices with late records, some of them sent twice if ``again``, and a
+    run in which the last windows close."""
+    root = work_dir(spark, "stream")
+    feed, checkpoint = f"{root}/topic", f"{root}/checkpoint"
+    serving = Serving(spark, f"{root}/serving")
+    records, arrival = derived.topic_records(spark, sf_dir), late_arrival()
+    seq = F.col("partition") + F.col("offset") * derived.TOPIC_PARTITIONS
+    for k in [*SLICES, None]:
+        if k is None:
+            new = closing_record(spark)
+        else:
+            new = records.where(arrival == k)
+            if again:
+                new = new.unionByName(records.where((F.least(arrival + 1, F.lit(2)) == k) & (seq % AGAIN == 0)))
+        new.write.mode("append").parquet(feed)
+        packets = topic.topic_packets(topic.read_topic(spark, "parquet", path=feed))
+        jobs.run_available(
+            jobs.writer(jobs.JOBS[name], packets, serving, checkpoint, duration, NEVER_LATE))
+    return serving
+
+
+def _closed(name: str, duration: str, again: bool = False) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        served = jobs.read_result(name, run_and_close(spark, sf_dir, name, duration, again))
+        lists = [c for c, t in served.dtypes if t == "array<string>"]
+        return _plain_times(_joined(served, lists[0], "\n") if lists else served)
+
+    return query
+
+
+def stream_window_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four window tables filled by one stream, one below the other."""
+    def start(packets: DataFrame, serving: Serving, checkpoint: str) -> DataStreamWriter:
+        return jobs.totals_writer(packets, serving, checkpoint, DAY, NEVER_LATE)
+
+    serving = fill_and_run(spark, sf_dir, start, late_arrival())
+    parts = []
+    for kind, columns in windows.TOTALS.items():
+        source = {v: k for k, v in columns.items()}
+        rows = jobs.read_result(kind, serving)
+        parts.append(rows.select(
+            F.lit(kind).alias("kind"), "start", "end",
+            *[F.col(source[c]).cast(t).alias(c) if c in source else F.lit(None).cast(t).alias(c)
+              for c, t in (("key", "string"), ("name", "string"), ("a", "bigint"), ("b", "bigint"))]))
+    return _plain_times(reduce(DataFrame.unionByName, parts))
+
+
 def _stream(name: str, shape: Callable[[DataFrame], DataFrame] = _plain_times) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return shape(jobs.read_result(name, run_in_slices(spark, sf_dir, name)))
@@ -219,6 +333,19 @@ def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_packets(archive.read_archive(spark, f"{root}/archive")).select(*FIELDS)
 
 
+def capture_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures by the hour, with an empty one between, to chunks of 4,000 rows and back."""
+    root = work_dir(spark, "chunks")
+    rows = derived.typed_packets(spark, sf_dir)
+    hourly = rows.select("seq", "ts", *FIELDS, F.hour("ts").alias("h")).repartition("h")
+    form = {"header": True, "encoding": capture.CAPTURE_ENCODING, "escape": '"'}
+    hourly.sortWithinPartitions("h", "seq").write.partitionBy("h").csv(f"{root}/captures", **form)
+    hourly.drop("h").where("false").coalesce(1).write.csv(f"{root}/captures/h=3-none", **form)
+    numbered = capture.numbered_captures(spark, f"{root}/captures/*")
+    capture.write_exact_chunks(numbered, f"{root}/chunks")
+    return capture.read_chunks(spark, f"{root}/chunks")
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Captures -> chunk files -> watched folder -> topic records, below one root."""
     root = work_dir(spark, "ingest")
@@ -373,6 +500,7 @@ STATIC: dict[str, Query] = {
     "response_records": _on_packets(lambda p: names.response_records(p, "seq")),
     "query_direction": _on_packets(query_direction),
     "chunk_assign": chunk_assign,
+    "parse_checked": parse_checked,
     "directed_traffic": _on_packets(pairs.directed_traffic),
     "pair_traffic": _on_packets(pairs.pair_traffic),
     "pair_traffic_join": _on_packets(pairs.pair_traffic_by_join),
@@ -428,12 +556,16 @@ STATIC: dict[str, Query] = {
     "tsv_single_file": tsv_single_file,
     "pair_traffic_from_table": pair_traffic_from_table,
     "hive_style_views": hive_style_views,
+    "hive_pair_views": hive_pair_views,
+    "capture_chunks": capture_chunks,
 }
 
 STREAMS: dict[str, Query] = {
     "stream_message_types": _stream("message_types"),
     "stream_errors": _stream("errors"),
     "stream_nameservers": _stream("nameservers"),
+    "stream_nameservers_from_evidence": _stream("nameservers_from_evidence"),
+    "stream_parse_checked": stream_parse_checked,
     "stream_name_counts": _stream("names"),
     "stream_categories": _stream("categories"),
     "stream_shared": stream_shared,
@@ -448,6 +580,11 @@ STREAMS: dict[str, Query] = {
     "stream_window_exchanged_packets": _stream("window_exchanged_packets"),
     "stream_window_message_types": _stream("window_message_types"),
     "stream_window_names": _stream("window_names"),
+    "stream_conversations_closed": _closed("closed_conversations", f"{GAP} seconds"),
+    "stream_window_bytes_packets_distinct": _closed("window_bytes_packets_distinct", DAY, True),
+    "stream_window_message_types_distinct": _closed("window_message_types_distinct", DAY, True),
+    "stream_window_names_distinct": _closed("window_names_distinct", DAY, True),
+    "stream_window_totals": stream_window_totals,
     "stream_resume": stream_resume,
     "late_rows_dropped": late_rows_dropped,
     "archive_roundtrip": archive_roundtrip,

@@ -1,8 +1,9 @@
 """The streaming jobs.
 
 Counting jobs keep no state: each micro-batch is reduced to its own counts, which are added
-to the table under the batch's epoch. Window jobs keep running totals in the state store,
-bounded by a watermark, and replace the rows they change.
+to the table under the batch's epoch. Stateful jobs keep running totals in the state store and
+replace the rows they change; windows are bounded by a watermark, and jobs in append mode give
+out what it has closed, once.
 """
 
 from __future__ import annotations
@@ -24,15 +25,16 @@ WATERMARK = "10 minutes"
 
 @dataclass(frozen=True)
 class StreamJob:
-    """``transform`` maps packets to changes of ``table``. A windowed one runs on the
-    stream itself, any other on each micro-batch. ``view`` maps rows of the table to those of
+    """``transform`` maps packets to changes of ``table``. A stateful one runs on the
+    stream itself, in output mode ``mode``, any other on each micro-batch. ``view`` maps rows of the table to those of
     the table ``viewed``, which is kept up to date for the keys that a batch has changed."""
 
     table: str
     transform: Callable[..., DataFrame]
-    windowed: bool = False
+    stateful: bool = False
     viewed: str | None = None
     view: Callable[[DataFrame], DataFrame] | None = None
+    mode: str = "update"
 
     @property
     def target(self) -> Table:
@@ -52,7 +54,13 @@ class StreamJob:
 JOBS = {
     "message_types": StreamJob("message_types", messages.message_types),
     "errors": StreamJob("errors", messages.error_sources),
+    # Evidence adds up in keyed state, so a batch touches only the addresses it names.
     "nameservers": StreamJob(
+        "nameservers",
+        lambda packets, duration, watermark: nameservers.nameserver_activity(packets), True,
+    ),
+    # The same without state, for streams that share a read: it reads the evidence so far.
+    "nameservers_from_evidence": StreamJob(
         "nameserver_evidence", nameservers.evidence,
         viewed="nameservers", view=nameservers.activity,
     ),
@@ -76,6 +84,19 @@ JOBS = {
     "window_names": StreamJob(
         "window_domain_requests_and_responses", windows.window_names, True
     ),
+    # The duration of this job is the pause that ends a conversation.
+    "closed_conversations": StreamJob(
+        "closed_conversations", C.closed_conversations, True, mode="append"
+    ),
+    "window_bytes_packets_distinct": StreamJob(
+        "window_bytes_packets", windows.window_bytes_packets_distinct, True, mode="append"
+    ),
+    "window_message_types_distinct": StreamJob(
+        "window_message_types", windows.window_message_types_distinct, True, mode="append"
+    ),
+    "window_names_distinct": StreamJob(
+        "window_domain_requests_and_responses", windows.window_names_distinct, True, mode="append"
+    ),
 }
 
 
@@ -90,13 +111,13 @@ def writer(
     """The stream ready to be triggered and started. Restarting on the same checkpoint
     goes on where it stopped; an epoch that was cut short is written again in full.
     Without a watermark (None) no row is ever late and state is kept for good."""
-    if job.windowed:
+    if job.stateful:
         rows = job.transform(packets, duration, watermark)
 
         def change(batch: DataFrame, epoch: int) -> None:
             job.serve(serving, batch, epoch)
 
-        return _to_batches(rows, "update", change, checkpoint)
+        return _to_batches(rows, job.mode, change, checkpoint)
     return shared_writer([job], packets, serving, checkpoint)
 
 
@@ -104,8 +125,8 @@ def shared_writer(
     counting: list[StreamJob], packets: DataFrame, serving: Serving, checkpoint: str
 ) -> DataStreamWriter:
     """Several counting jobs on one stream: the topic is read and parsed once for all."""
-    if any(job.windowed for job in counting):
-        raise ValueError("window jobs hold state of their own and need a stream each")
+    if any(job.stateful for job in counting):
+        raise ValueError("stateful jobs need a stream each")
 
     def change(batch: DataFrame, epoch: int) -> None:
         shared = len(counting) > 1
@@ -121,6 +142,28 @@ def shared_writer(
     return _to_batches(packets, "append", change, checkpoint)
 
 
+def totals_writer(
+    packets: DataFrame,
+    serving: Serving,
+    checkpoint: str,
+    duration: str = windows.DURATION,
+    watermark: str | None = WATERMARK,
+) -> DataStreamWriter:
+    """The four window jobs as one stream: one read of the topic, one state, four tables."""
+    totals = windows.window_totals(packets, duration, watermark)
+
+    def change(batch: DataFrame, epoch: int) -> None:
+        # Each table is an action of its own; the state is updated once for all.
+        batch.persist()
+        try:
+            for kind in windows.TOTALS:
+                JOBS[kind].serve(serving, windows.total_of(batch, kind), epoch)
+        finally:
+            batch.unpersist()
+
+    return _to_batches(totals, "update", change, checkpoint)
+
+
 def _to_batches(
     rows: DataFrame, mode: str, change: Callable[[DataFrame, int], None], checkpoint: str
 ) -> DataStreamWriter:
@@ -151,7 +194,7 @@ def read_conversations(serving: Serving, gap_seconds: int | None = None) -> Data
 
 def read_result(name: str, serving: Serving) -> DataFrame:
     """What the job called ``name`` has served so far."""
-    if name == "nameservers":
+    if name.startswith("nameservers"):
         return read_nameservers(serving)
     if name == "conversations":
         return read_conversations(serving)

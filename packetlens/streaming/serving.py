@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,13 @@ class Table:
     upsert: str = "replace"
     # A key column that numbers the pieces of one long row; pieces are replaced together.
     piece: str | None = None
+    # Rows are dealt by the hash of their key over so many folders, of which a lookup reads one.
+    buckets: int | None = None
+
+    def bucket_of(self, *values: Column) -> Column:
+        """The bucket of a whole key; of literals it is a constant, which prunes folders."""
+        typed = [v.cast(t) for v, t in zip(values, self.keys.values(), strict=True)]
+        return F.pmod(F.xxhash64(*typed), F.lit(self.buckets)).cast("int")
 
     @property
     def columns(self) -> dict[str, str]:
@@ -68,8 +75,15 @@ SERVING = {
             {"n_messages": _COUNT, "messages": "array<string>"},
             piece="part",
         ),
+        # Given out once each, when the watermark has closed them.
+        Table(
+            "closed_conversations",
+            {"query_id": "string", "client": "string", "server": "string", "start": "timestamp"},
+            {"n_messages": _COUNT, "messages": "array<string>"},
+            "append",
+        ),
         Table("domain_requests_and_responses", {"request_response": "string", "type": "string"},
-              {"requests": _COUNT}, "add"),
+              {"requests": _COUNT}, "add", buckets=8),
         Table("errors", {"address": "string"}, {"errors": _COUNT}, "add"),
         Table("window_domain_requests_and_responses",
               {**_WINDOW, "type": "string", "request_response": "string"}, {"requests": _COUNT}),
@@ -165,12 +179,15 @@ class Serving:
         go out as they are."""
         shaped = changes.select(*[F.col(c).cast(t).alias(c) for c, t in table.columns.items()])
         if table.upsert != "append":
-            shaped = shaped.hint("rebalance").sortWithinPartitions(*table.keys)
-        shaped.write.mode("overwrite").parquet(self._folder(table, epoch, writer))
+            dealt = _dealt(table, shaped)
+            by = ["bucket"] if table.buckets else []
+            shaped = dealt.hint("rebalance", *by).sortWithinPartitions(*by, *table.keys)
+        _written(table, shaped, self._folder(table, epoch, writer))
 
     def written(self, table: Table, epoch: int, writer: str | None = None) -> DataFrame:
         """The changes of one epoch as they were written."""
-        return self.spark.read.schema(table.schema).parquet(self._folder(table, epoch, writer))
+        path = self._folder(table, epoch, writer)
+        return self.spark.read.schema(_stored_schema(table)).parquet(path).select(*table.columns)
 
     def next_epoch(self, table: Table) -> int:
         """For a batch job, which has no epoch of its own."""
@@ -184,8 +201,11 @@ class Serving:
         for path in (self._snapshots(table), self._changes(table), self._claims(table)):
             empty.write.mode("overwrite").parquet(path)
 
-    def read(self, table: Table, upto: int | None = None) -> DataFrame:
-        """Current rows. A filter on key columns reaches the parquet scan."""
+    def read(
+        self, table: Table, upto: int | None = None, bucket: Column | None = None
+    ) -> DataFrame:
+        """Current rows, or those of one bucket. A filter on key columns reaches the parquet
+        scan, one on the bucket leaves out folders."""
         snapshots = _numbered_folders(self.spark, self._snapshots(table), "upto")
         base = max(snapshots, default=None)
         epochs = [
@@ -195,7 +215,7 @@ class Serving:
         ]
         parts = []
         if base is not None:
-            snapshot = self.spark.read.schema(table.schema).parquet(
+            snapshot = self.spark.read.schema(_stored_schema(table)).parquet(
                 f"{self._snapshots(table)}/upto={base}"
             )
             parts.append(snapshot.withColumn("epoch", F.lit(base).cast("bigint")))
@@ -203,11 +223,13 @@ class Serving:
             root = self._changes(table)
             parts.append(
                 self.spark.read.option("basePath", root)
-                .schema(f"{table.schema}, epoch bigint")
+                .schema(f"{_stored_schema(table)}, epoch bigint")
                 .parquet(*[f"{root}/epoch={e}" for e in epochs])
             )
         if not parts:
             return self.spark.createDataFrame([], table.schema)
+        if bucket is not None:
+            parts = [p.where(F.col("bucket") == bucket) for p in parts]
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return _fold(table, rows)
 
@@ -220,16 +242,40 @@ class Serving:
         if not epochs:
             return
         path = f"{self._snapshots(table)}/upto={epochs[-1]}"
-        ordered = self.read(table, epochs[-1]).repartitionByRange(*table.keys)
-        ordered.sortWithinPartitions(*table.keys).write.mode("overwrite").parquet(path)
+        by = ["bucket"] if table.buckets else []
+        ordered = _dealt(table, self.read(table, epochs[-1])).repartitionByRange(*by, *table.keys)
+        _written(table, ordered.sortWithinPartitions(*by, *table.keys), path)
 
     def lookup(self, table: Table, **key: object) -> DataFrame:
-        rows = self.read(table)
+        """The rows of a key or of a part of it. A whole key of a table with buckets opens the
+        files of one bucket only."""
+        bucket = None
+        if table.buckets and set(key) >= set(table.keys):
+            bucket = table.bucket_of(*[F.lit(key[k]) for k in table.keys])
+        rows = self.read(table, bucket=bucket)
         for column, value in key.items():
             rows = rows.where(F.col(column) == F.lit(value))
         return rows
 
 
+def _stored_schema(table: Table) -> str:
+    return f"{table.schema}, bucket int" if table.buckets else table.schema
+
+
+def _dealt(table: Table, rows: DataFrame) -> DataFrame:
+    return rows.withColumn("bucket", table.bucket_of(*map(F.col, table.keys))) if table.buckets else rows
+
+
+def _written(table: Table, rows: DataFrame, path: str) -> None:
+    writer = rows.write.mode("overwrite")
+    if table.buckets:
+        # Of the files of its bucket, a lookup opens the pages of those that may hold the key.
+        writer = writer.partitionBy("bucket").option("parquet.bloom.filter.adaptive.enabled", "true")
+        for key in table.keys:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.parquet(path)
+
+
 def _fold(table: Table, rows: DataFrame) -> DataFrame:
     if table.upsert == "append":
         return rows.drop("epoch")

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from checks import DATA
 from packetlens import __main__ as cli
 from packetlens import session
-from packetlens.functions.packet import parse_packets
+from packetlens.functions.packet import FIELDS, parse_packets
 from packetlens.operators import conversations, names, pairs
-from packetlens.sources import archive, capture, derived, output, topic
+from packetlens.plans import hive_views
+from packetlens.sources import archive, capture, checked, derived, output, topic
 from packetlens.streaming import jobs
 from packetlens.streaming.serving import SERVING, Serving
 
@@ -169,3 +170,85 @@ def test_command_line(spark, tmp_path, monkeypatch, captures):
         cli.main(["batch", "find_host", "--input_path", arch])
     with pytest.raises(ValueError):
         cli.main(["batch", "uniquehosts_dns", "--input_path", arch])
+
+
+def test_exact_chunks_of_several_files_and_splits(spark, tmp_path):
+    folder = tmp_path / "captures"
+    folder.mkdir()
+    head, want = '"No.","Time","Source","Destination","Protocol","Length","Info"\n', []
+    for name, n in (("h1", 700), ("h2", 0), ("h10", 1001), ("h3", 1), ("h4", 999)):
+        rows_ = [(f"{name}-{i}", "2.2.2.2", "DNS", str(i), 'a, "b" \xe9') for i in range(n)]
+        (folder / f"{name}.csv").write_text(
+            head + "".join(f'"{i}","0.1","{r[0]}","{r[1]}","{r[2]}","{r[3]}","a, ""b"" \xe9"\n'
+                           for i, r in enumerate(rows_)), encoding="latin-1")
+    for name, n in (("h1", 700), ("h3", 1), ("h4", 999), ("h10", 1001)):
+        want += [(f"{name}-{i}", "2.2.2.2", "DNS", str(i), 'a, "b" \xe9') for i in range(n)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        numbered = capture.numbered_captures(spark, str(folder))
+        assert spark.read.csv(str(folder)).rdd.getNumPartitions() > 8
+        got = sorted(tuple(r) for r in numbered.select("seq", *FIELDS).collect())
+        capture.write_exact_chunks(numbered, str(tmp_path / "chunks"), 400)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i, *r) for i, r in enumerate(want)]
+    for k in range(7):
+        files = list((tmp_path / "chunks" / f"chunk={k}").glob("*.csv"))
+        assert len(files) == 1
+        lines = files[0].read_text(encoding="utf-8").splitlines()
+        assert lines == [f'{r[0]},{r[1]},{r[2]},{r[3]},"a, ""b"" \xe9"' for r in want[400 * k:400 * k + 400]]
+    back = capture.read_chunks(spark, str(tmp_path / "chunks"))
+    assert sorted(back.groupBy("chunk").count().collect()) == [(k, 400 if k < 6 else 301) for k in range(7)]
+
+
+def test_captures_without_rows(spark, tmp_path):
+    (tmp_path / "h1.csv").write_text('"No.","Time","Source","Destination","Protocol","Length","Info"\n')
+    numbered = capture.numbered_captures(spark, str(tmp_path))
+    capture.write_exact_chunks(numbered, str(tmp_path / "chunks"))
+    assert numbered.count() == 0
+
+
+def test_paths_sort_by_their_numbers(spark):
+    paths = ["a/h10.csv", "a/h9.csv", "a/h1.csv", "a/h.csv", "a10/h1.csv", "a2/h1.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r.p for r in df.orderBy(capture.natural(F.col("p"))).collect()]
+    assert got == ["a/h.csv", "a/h1.csv", "a/h9.csv", "a/h10.csv", "a2/h1.csv", "a10/h1.csv"] or \
+        [g for g in got if g != "a/h.csv"] == ["a/h1.csv", "a/h9.csv", "a/h10.csv", "a2/h1.csv", "a10/h1.csv"]
+
+
+def test_every_line_is_parsed_or_quarantined(spark, tmp_path):
+    lines = ["1.1.1.1,2.2.2.2,DNS,60,Standard query 0x1 A a.b", "", None, "a,b,c,1", "a,b,c,1.5,x", "a,b,c,,x", "a,b,c,7,",
+             "a,b,c,8,x,y", "  a,b,c,9,x \n"]
+    df = spark.createDataFrame(list(enumerate(lines)), "offset int, message string")
+    assert checked.write_checked(df, str(tmp_path / "out")) == {"read": 9, "parsed": 3, "quarantined": 6}
+    bad = checked.read_checked(spark, str(tmp_path / "out"), checked.QUARANTINED)
+    assert sorted((r.offset, r.reason) for r in bad.collect()) == [
+        (1, "too few fields"), (2, "no record"), (3, "too few fields"), (4, "length"), (5, "length"), (6, "no text")]
+    good = checked.read_checked(spark, str(tmp_path / "out"), checked.PARSED)
+    assert sorted(tuple(r) for r in good.select("offset", "length", "info", "reason").collect()) == [
+        (0, 60, "Standard query 0x1 A a.b", None), (7, 8, "x", None), (8, 9, "x", None)]
+
+
+def test_an_input_table_is_loaded_anew(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.json").write_text('{"message":"x"}\n{"message":"y"}\n')
+    spark.sql(f"CREATE DATABASE loads LOCATION '{tmp_path}/db'")
+    try:
+        for _ in range(2):
+            hive_views.load_archive(spark, "loads.input", str(tmp_path / "one"), str(tmp_path / "external"))
+            assert spark.table("loads.input").count() == 2
+        kind = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED loads.input").collect()}
+        assert kind["Type"] == "EXTERNAL"
+    finally:
+        spark.sql("DROP DATABASE loads CASCADE")
+    assert spark.read.text(str(tmp_path / "external")).count() == 2
+
+
+def test_pair_tables_are_dropped(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ["9,5,DNS,60,x", "5,9,DNS,40,x", "5,5,DNS,7,x", "3,4,DNS,10,x", "3,4,TCP,10,x", "3,4,DNS,oops,x"]
+    (tmp_path / "in" / "a.json").write_text("".join(f'{{"message":"{m}"}}\n' for m in lines))
+    got = sorted(tuple(r) for r in hive_views.pair_averages_by_tables(spark, str(tmp_path / "in")).collect())
+    assert got == [("3", "4", 10.0, 1.0), ("5", "5", 7.0, 2.0), ("9", "5", 50.0, 2.0)]
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("pairs_")]

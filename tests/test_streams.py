@@ -273,3 +273,145 @@ def test_gap_divides_conversations(spark):
     found = conversations.gap_conversations(talk, 10).collect()
     # 14.999999 s to 25 s is a pause; 25 s to 35 s is not.
     assert sorted(tuple(r.messages) for r in found) == [("2", "4", "3"), ("5", "0", "1"), ("m", "m")]
+
+
+def start(spark, name, root, **args):
+    packets = topic.topic_packets(topic.read_topic(spark, "parquet", path=f"{root}/topic"))
+    return jobs.run_available(jobs.writer(
+        jobs.JOBS[name], packets, Serving(spark, f"{root}/serving"), f"{root}/checkpoint", **args))
+
+
+def closed(spark, root):
+    served = Serving(spark, f"{root}/serving").read(SERVING["closed_conversations"])
+    return sorted((r.query_id, r.n_messages, tuple(m.split(" src: ")[1] for m in r.messages)) for r in served.collect())
+
+
+OTHER = "9.9.9.9,8.8.8.8,DNS,60,Standard query 0xf A a.b"
+THERE, BACK = "1.1.1.1 dest: 2.2.2.2", "2.2.2.2 dest: 1.1.1.1"
+
+
+def test_a_conversation_is_given_out_once_when_its_gap_has_passed(spark, tmp_path):
+    root, talk = str(tmp_path), {"duration": "10 seconds", "watermark": "5 seconds"}
+    publish(spark, f"{root}/topic", [QUERY], 0, "2024-01-01 00:00:00")
+    start(spark, "closed_conversations", root, **talk)
+    # The second half comes in another run, exactly one gap later.
+    publish(spark, f"{root}/topic", [REPLY], 1, "2024-01-01 00:00:10")
+    start(spark, "closed_conversations", root, **talk)
+    assert closed(spark, root) == []
+    publish(spark, f"{root}/topic", [OTHER], 2, "2024-01-01 00:00:30")
+    start(spark, "closed_conversations", root, **talk)
+    assert closed(spark, root) == [("0x1", 2, (THERE, BACK))]
+    # Later than the watermark: dropped, and the pair is not opened again.
+    publish(spark, f"{root}/topic", [REPLY], 3, "2024-01-01 00:00:12")
+    publish(spark, f"{root}/topic", [OTHER], 4, "2024-01-01 00:02:00")
+    start(spark, "closed_conversations", root, **talk)
+    assert closed(spark, root) == [("0x1", 2, (THERE, BACK))]
+    # The same id again after the gap is a conversation of its own.
+    publish(spark, f"{root}/topic", [QUERY, REPLY], 5, "2024-01-01 00:02:01")
+    publish(spark, f"{root}/topic", [OTHER], 7, "2024-01-01 00:09:00")
+    for _ in range(2):
+        start(spark, "closed_conversations", root, **talk)
+        assert closed(spark, root) == [("0x1", 2, (THERE, BACK))] * 2
+
+
+def test_messages_out_of_order_bridge_a_conversation(spark, tmp_path):
+    root, talk = str(tmp_path), {"duration": "10 seconds", "watermark": "60 seconds"}
+    for k, (line, second) in enumerate([(QUERY, "00"), (QUERY, "18"), (REPLY, "09")]):
+        publish(spark, f"{root}/topic", [line], k, f"2024-01-01 00:00:{second}")
+        start(spark, "closed_conversations", root, **talk)
+    publish(spark, f"{root}/topic", [OTHER], 3, "2024-01-01 01:00:00")
+    start(spark, "closed_conversations", root, **talk)
+    assert closed(spark, root) == [("0x1", 3, (THERE, BACK, THERE))]
+
+
+def test_state_of_closed_conversations_is_freed(spark, tmp_path):
+    root, kept = str(tmp_path), []
+    for k in range(5):
+        lines = [f"1.1.1.{i},2.2.2.2,DNS,60,Standard query 0x{k:x}{i:x} A a.b" for i in range(20)]
+        publish(spark, f"{root}/topic", lines, 100 * k, f"2024-01-01 0{k}:00:00")
+        query = start(spark, "closed_conversations", root, duration="10 seconds", watermark="5 seconds")
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(kept) <= 40 and kept[-1] <= 20
+
+
+def test_closed_conversations_of_a_table_are_those_of_the_gap(spark):
+    static = derived.packets(spark, SF).withColumn("ts", F.col("ts").cast("timestamp"))
+    talk = conversations.messages(static, "seq", "ts")
+    for gap in (86_400, 3_600, 1):
+        got = rows(conversations.closed_conversations(static, f"{gap} seconds"))
+        assert got == rows(conversations.gap_conversations(talk, gap))
+
+
+@pytest.mark.parametrize("name", ["window_bytes_packets_distinct", "window_message_types_distinct", "window_names_distinct"])
+def test_a_line_counts_once_per_window_over_micro_batches(spark, tmp_path, name):
+    root, args = str(tmp_path), {"duration": "1 hour", "watermark": "10 minutes"}
+    for k in range(3):
+        publish(spark, f"{root}/topic", [QUERY, REPLY], 2 * k, "2024-01-01 00:10:00")
+        start(spark, name, root, **args)
+    publish(spark, f"{root}/topic", [QUERY], 6, "2024-01-01 01:10:00")
+    publish(spark, f"{root}/topic", [QUERY], 7, "2024-01-01 09:00:00")
+    query = start(spark, name, root, **args)
+    served = rows(Serving(spark, f"{root}/serving").read(jobs.JOBS[name].target).drop("start", "end"))
+    want = {
+        "window_bytes_packets_distinct": [(140, 6), (60, 1)],
+        "window_message_types_distinct": [("Standard query", 1), ("Standard query", 2)],
+        "window_names_distinct": [("A", "a.b", 1), ("A", "a.b", 1), ("CNAME", "c.d", 1)],
+    }[name]
+    assert served == want
+    # Both states of closed windows are empty but for the window still open.
+    assert all(s["numRowsTotal"] <= 2 for s in query.lastProgress["stateOperators"])
+
+
+def test_four_window_tables_come_from_one_read(spark, tmp_path):
+    root = str(tmp_path)
+    derived.topic_records(spark, SF).repartition(3).write.parquet(f"{root}/topic")
+    source = topic.read_topic(spark, "parquet", path=f"{root}/topic", maxFilesPerTrigger="1")
+    packets, serving = topic.topic_packets(source), Serving(spark, f"{root}/serving")
+    query = jobs.run_available(jobs.totals_writer(packets, serving, f"{root}/cp", "1 day", "60 days"))
+    reports = [p for p in query.recentProgress if p["numInputRows"]]
+    total = derived.packets(spark, SF).count()
+    assert sum(p["numInputRows"] for p in reports) == total and len(reports) == 3
+    assert all(len(p["sources"]) == 1 and len(p["stateOperators"]) == 1 for p in reports)
+    static = derived.packets(spark, SF).withColumn("ts", F.col("ts").cast("timestamp"))
+    for kind in windows.TOTALS:
+        want = getattr(windows, kind)(static, "1 day")
+        assert rows(jobs.read_result(kind, serving)) == rows(want)
+        assert rows(windows.total_of(windows.window_totals(static, "1 day"), kind)) == rows(want)
+
+
+def test_nameserver_state_is_read_by_address_only(spark, tmp_path):
+    root = str(tmp_path)
+    lines = [f"1.1.{i // 250}.{i % 250},7.7.{i // 250}.{i % 250},DNS,60,Standard query 0x1 A a.b" for i in range(1000)]
+    publish(spark, f"{root}/topic", lines)
+    start(spark, "nameservers", root)
+    publish(spark, f"{root}/topic", [QUERY], 1000)
+    query = start(spark, "nameservers", root)
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert state[-1]["numRowsTotal"] >= 2000 and state[-1]["numRowsUpdated"] <= 2
+    last = Serving(spark, f"{root}/serving").written(SERVING["nameservers"], 1)
+    assert rows(last) == [("2.2.2.2", 0, 1)]
+
+
+def test_a_lookup_opens_one_bucket(spark, tmp_path):
+    serving = Serving(spark, str(tmp_path))
+    for epoch in range(6):
+        serving.apply(NAMES, counts(spark, **{f"n{i}": 1 for i in range(50)}, a=1), epoch)
+    found = serving.lookup(NAMES, request_response="a", type="A")
+    assert rows(found) == [("a", "A", 6)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    serving.compact(NAMES)
+    assert rows(serving.lookup(NAMES, request_response="a", type="A")) == [("a", "A", 6)]
+    assert rows(serving.lookup(NAMES, request_response="n7")) == [("n7", "A", 6)]
+    assert serving.read(NAMES).count() == 51
+    assert rows(serving.lookup(NAMES, request_response="none", type="A")) == []
+    # A lookup still works when no file of another bucket can be opened.
+    own = spark.range(1).select(NAMES.bucket_of(F.lit("a"), F.lit("A"))).first()[0]
+    spoilt = [f for f in tmp_path.glob("**/bucket=*/*.parquet") if f.parent.name != f"bucket={own}"]
+    assert len({f.parent.name for f in spoilt}) == NAMES.buckets - 1
+    for f in spoilt:
+        f.write_bytes(b"spoilt")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    assert rows(serving.lookup(NAMES, request_response="a", type="A")) == [("a", "A", 6)]
+    with pytest.raises(Exception, match="Parquet|parquet"):
+        serving.read(NAMES).collect()

@@ -11,7 +11,6 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -100,14 +99,18 @@ def map_texts(
     """Add columns computed from ``column`` by Arrow batches.
 
     ``make()`` runs once per task and returns a function from a list of texts (None for null)
-    to a dict of columns. ``keep`` names the columns passed through (default: all). With
-    ``most`` above ``SLICE_BYTES`` texts of several batches are handed over together.
+    to a dict of columns. ``keep`` names the columns passed through (default: all); an added
+    column whose name one of them has gets a longer name (``fresh``). With ``most`` above
+    ``SLICE_BYTES`` texts of several batches are handed over together.
     """
     keep = df.columns if keep is None else keep
-    fields = to_arrow_schema(StructType.fromDDL(schema))
-    added = fields.names
+    made = StructType.fromDDL(schema)
+    fields = to_arrow_schema(made)
+    added = [fresh(keep, n) for n in fields.names]
     rows = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, column])])
-    passed = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n in keep)
+    result = StructType([rows.schema[c] for c in keep])
+    for name, field in zip(added, made.fields, strict=True):
+        result = result.add(name, field.dataType)
 
     def run(batches):
         work = make()
@@ -119,9 +122,4 @@ def map_texts(
                     [*keep, *added],
                 )
 
-    return rows.mapInArrow(run, f"{passed}, {schema}" if passed else schema)
-
-
-def text_id(text) -> F.col:
-    """A 128-bit digest of a text as hex; null for null."""
-    return F.md5(text)
+    return rows.mapInArrow(run, result)

@@ -1,16 +1,22 @@
-"""Similarity join on word n-grams: MinHash signatures in LSH bands, then exact Jaccard.
+"""Similarity join on word n-grams: a MinHash LSH forest, then exact Jaccard.
 
 Texts are sets of five-word runs. Equal texts form one node, known by their digest. A node's
-signature gives each of ``TREES`` bands ``LONGEST`` minima. Nodes meet by equal prefixes of a
-band; one length serves all texts, the greatest at which two texts at the threshold share a
-prefix in some band with probability ``RECALL``. This is fixed banding and not an LSH
-forest: nothing adapts to a text, and minima beyond the prefix serve the estimate only.
-
-Nodes with a common prefix are gathered in candidate groups: along a run of equal prefixes,
-leaders stand for the texts like them, and a text joins every leader whose estimated
-similarity leaves a link to one of the leader's texts possible. Groups are closed over trees
-and cut into blocks; every pair of blocks of a group is verified on the exact sets, so no pair
-is emitted as a row, and a link between texts of one group is never missed.
+signature gives each of ``TREES`` prefix tries a label of ``LONGEST`` minima. Sorted labels are
+the trie: nodes that share a prefix stand together as a run.
+
+The forest is walked from its longest prefixes to shorter ones (``depths``). At each depth a
+text meets the others of its runs in every trie. It goes on to shorter prefixes until its
+target recall is reached: until a partner as dissimilar as the least similar one it has met
+would have been met with probability ``RECALL`` by now. A text that has met nobody goes on to
+the depth at which that holds for two texts at the threshold; so does a run as long as one of
+its texts goes on. Texts in groups of close copies stop at long prefixes, where runs hold copies.
+
+Nodes that meet are gathered in candidate groups: along a run, leaders stand for the texts like
+them, and a text joins every leader whose estimated similarity leaves a link to one of the
+leader's texts possible. A run of more than ``HOT`` nodes is dealt over tasks, whose leaders then
+meet. Groups are closed over trees and cut into blocks; every pair of blocks of a group is
+verified on the exact sets, so no pair is emitted as a row, and a link between texts of one
+group is never missed.
 
 * A text that is null or has no word is alone and has no link. A text of fewer than five
   words is one run of all its words.
@@ -36,9 +42,11 @@ from packetlens.llm.words import mixed, shingles, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
-TREES = 20
-LONGEST = 5
-RECALL = 0.9999
+TREES = 16
+LONGEST = 7
+RECALL = 0.999
+# Nodes of a run that one task goes through.
+HOT = 20_000
 # Signature bytes from which similarity is estimated, and its allowance of error.
 ESTIMATE = 100
 ALLOWANCE = 0.2
@@ -54,11 +62,22 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, longest: int
                   recall: float = RECALL) -> int:
     """Shorten the prefix until a pair at the threshold is found with probability ``recall``."""
     length = longest
-    while length > 1 and 1 - (1 - threshold ** length) ** trees < recall:
+    while length > 1 and met(threshold, length, trees) < recall:
         length -= 1
     return length
 
 
+def met(similarity: float, length: int, trees: int = TREES) -> float:
+    """The probability that two texts share a prefix of so many minima in some trie."""
+    return 1 - (1 - similarity ** length) ** trees
+
+
+def depths() -> list[int]:
+    """Prefix lengths in the order they are walked."""
+    last = prefix_length()
+    return [*range(LONGEST, last, -2), last]
+
+
 def signer(n: int = TREES * LONGEST):
     """A function from texts to their set sizes (with repeats) and signatures."""
     multipliers = np.random.default_rng(20_11).integers(1, 1 << 63, n, dtype="u8") | np.uint64(1)
@@ -101,50 +120,102 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _group_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that connect each run of equal prefixes as far as its texts are alike. Rows come
-    sorted by prefix; a run may span batches, and only its leaders are held. ``same`` tells
-    which leaders are connected already, so a text adds one edge and joins groups once."""
-    run, leaders, names, same = None, None, [], None
-    least = THRESHOLD - (1 - THRESHOLD) - ALLOWANCE
+    """Edges that connect each run as far as its texts are alike: (a, b, like, least), ``like``
+    the estimated similarity of both and ``least`` that of the least similar partner which ``a``
+    has met. Rows come sorted by run; a run may span batches, and only its leaders are held.
+    ``same`` tells which leaders are connected already, so a text adds one edge and joins groups
+    once. The leaders of a run that is a part of another are given out as well: (a, estimate,
+    prefix)."""
+    run, part, leaders, names, same = None, False, None, [], None
+    floor = THRESHOLD - (1 - THRESHOLD) - ALLOWANCE
+    made = ["a", "b", "like", "least", "prefix"]
+    kinds = [pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64()]
+
+    def table(rows):
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], made)
+
+    def given():
+        if part:
+            yield table([(n, e.tobytes(), None, None, run[0]) for n, e in zip(names, leaders, strict=True)])
+
     for batch in batches:
-        a, b = [], []
-        keys, nodes = batch["prefix"].to_numpy(), batch["node"].to_pylist()
-        raw = batch["estimate"].to_pylist()
-        for key, node, sign in zip(keys.tolist(), nodes, raw, strict=True):
+        out = []
+        columns = (batch[c].to_pylist() for c in ("prefix", "salt", "part", "node", "estimate"))
+        for prefix, salt, is_part, node, sign in zip(*columns, strict=True):
             own = np.frombuffer(sign, "u1")
-            if key != run:
-                run, leaders, names, same = key, own[None, :], [node], np.zeros(1, "i8")
+            if (prefix, salt) != run:
+                yield from given()
+                run, part, leaders, names, same = (prefix, salt), is_part, own[None, :], [node], np.zeros(1, "i8")
                 continue
             like = (leaders == own).mean(1)
-            hits = np.flatnonzero(like >= least)
+            hits = np.flatnonzero(like >= floor)
             if len(hits):
+                partners = like[like >= THRESHOLD]
+                least = float(partners.min()) if len(partners) else None
                 groups, first = np.unique(same[hits], return_index=True)
                 for k in hits[first].tolist():
-                    a.append(node)
-                    b.append(names[k])
+                    out.append((node, names[k], float(like[k]), least, None))
                 same[np.isin(same, groups)] = groups[0]
             if like.max() < THRESHOLD:
                 leaders = np.concatenate([leaders, own[None, :]])
                 names.append(node)
                 same = np.append(same, groups[0] if len(hits) else len(same))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        yield table(out)
+    yield from given()
+
+
+_RUN_SCHEMA = "a binary, b binary, like double, least double, prefix bigint"
+
+
+def _met_at(nodes: DataFrame, length: int) -> DataFrame:
+    """The edges between nodes that share a prefix of ``length`` minima in some trie. ``nodes``
+    has node, signature, estimate and ``waiting``; runs in which nobody waits are left out."""
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    label = F.substring("signature", F.col("tree") * (4 * LONGEST) + 1, F.lit(4 * length))
+    placed = nodes.select("node", "signature", "waiting", tree.alias("tree")).select(
+        "node", "waiting", F.xxhash64("tree", label).alias("prefix"))
+    runs = placed.groupBy("prefix").agg(F.count("*").alias("n"), F.max("waiting").alias("w")).where(
+        (F.col("n") > 1) & F.col("w"))
+    salts = F.ceil(F.col("n") / F.lit(HOT))
+    found = placed.select("node", "prefix").join(runs.select("prefix", salts.alias("salts")), "prefix").select(
+        "node", "prefix", F.pmod(F.xxhash64("node"), "salts").alias("salt"), (F.col("salts") > 1).alias("part"))
+    rows = found.join(nodes.select("node", "estimate"), "node")
+
+    def walked(rows):
+        return rows.repartition("prefix", "salt").sortWithinPartitions("prefix", "salt", "node").mapInArrow(
+            _group_runs, _RUN_SCHEMA)
+
+    parts = stored(walked(rows), "runs")
+    # Leaders of the parts of a long run meet as a run of their own.
+    heads = parts.where(F.col("prefix").isNotNull()).select(
+        "prefix", F.lit(0).cast("bigint").alias("salt"), F.lit(False).alias("part"),
+        F.col("a").alias("node"), F.col("b").alias("estimate"))
+    return parts.where(F.col("prefix").isNull()).union(walked(heads)).drop("prefix")
 
 
 def candidate_groups(nodes: DataFrame) -> DataFrame:
     """(node, root): nodes that may be linked, by group. ``nodes`` has node and signature."""
-    length = prefix_length()
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    placed = nodes.select("node", "signature", tree.alias("tree")).select(
-        "node", F.xxhash64("tree", F.substring(
-            "signature", F.col("tree") * (4 * LONGEST) + 1, F.lit(4 * length))).alias("prefix"))
-    shared = placed.groupBy("prefix").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    found = placed.join(shared.select("prefix"), "prefix")
     # One byte of each minimum is enough to estimate similarity.
     estimate = F.unhex(F.regexp_replace(F.hex("signature"), "(..)......", "$1"))
-    signed = nodes.select("node", F.substring(estimate, 1, ESTIMATE).alias("estimate"))
-    rows = found.join(signed, "node").repartition("prefix").sortWithinPartitions("prefix", "node")
-    edges = rows.mapInArrow(_group_runs, "a binary, b binary")
-    return components(edges, "candidates")
+    nodes = nodes.withColumn("estimate", F.substring(estimate, 1, ESTIMATE))
+    edges, over = None, None
+    for length in depths():
+        if over is None:
+            going = nodes.withColumn("waiting", F.lit(True))
+        else:
+            going = nodes.join(over.withColumn("over", F.lit(True)), "node", "left").withColumn(
+                "waiting", F.col("over").isNull()).drop("over")
+        found = stored(_met_at(going, length), "edges")
+        edges = found if edges is None else edges.union(found)
+        if length == depths()[-1]:
+            break
+        # Whom a text has met so far, the least similar of them, and whether that is enough.
+        pairs = edges.select("a", "least").union(edges.select("b", "like").where(F.col("like") >= THRESHOLD))
+        least = pairs.toDF("node", "least").groupBy("node").agg(F.min("least").alias("least"))
+        enough = 1 - F.pow(1 - F.pow("least", F.lit(length)), F.lit(TREES)) >= RECALL
+        over = stored(least.where(enough).select("node"), "over")
+    return components(edges.select("a", "b"), "candidates")
 
 
 def bloom_places(keys: list[bytes], ids: list[int | None]) -> np.ndarray:

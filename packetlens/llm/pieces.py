@@ -17,8 +17,11 @@ from collections.abc import Callable, Iterable
 UNSAFE = re.compile(r"\s\s|[\W_][.,]|\0")
 # A space before something else starts a piece; longer white space stays with what precedes it.
 CUT = re.compile(r"(?= [^\s])")
-# Pieces remembered by one Python process.
+# The white space of Unicode.
+WHITE = "".join(map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+# Pieces remembered by one Python process, and characters of all of them.
 REMEMBERED = 1_000_000
+REMEMBERED_CHARS = 32 << 20
 
 
 def cut(text: str) -> list[str]:
@@ -30,19 +33,23 @@ def cut(text: str) -> list[str]:
 
 
 class Memory(dict):
-    """Piece to result; filled from ``work`` for many pieces at once."""
+    """Piece to result; filled from ``work`` for many pieces at once. Both the number of pieces
+    and their characters are bounded, but for the pieces of one call."""
 
     def __init__(self, work: Callable[[list[str]], Iterable], most: int = REMEMBERED):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.chars = work, most, 0
 
     def learn(self, pieces: Iterable[str]) -> None:
         wanted = set(pieces)
         new = wanted.difference(self)
-        if len(self) + len(new) > self.most:
+        chars = sum(map(len, new))
+        if len(self) + len(new) > self.most or self.chars + chars > REMEMBERED_CHARS:
             # Frequent pieces come back with the next batch.
-            new = wanted
+            new, self.chars = wanted, 0
+            chars = sum(map(len, new))
             self.clear()
+        self.chars += chars
         new = list(new)
         if new:
             self.update(zip(new, self.work(new), strict=True))

@@ -11,6 +11,7 @@ from packetlens.llm import (
     substring_dedup, token_counts, token_files, url_filter,
 )
 from packetlens.llm.common import stored, table
+from packetlens.llm.oracles import ORACLES as ORACLES
 from packetlens.session import work_dir
 
 # The rules given for pages, by host and path.
@@ -141,5 +142,3 @@ QUERIES = {
     "op12_hard_negatives": op12_hard_negatives,
     "op13_substring_dedup": op13_substring_dedup,
 }
-
-ORACLES: dict[str, str] = {}

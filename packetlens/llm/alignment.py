@@ -6,10 +6,10 @@ kept in a dictionary from end to index for either side. The offsets in both dict
 slice the two id lists into groups; inside a group no end is shared, so its links (pairs of
 tokens whose bytes overlap) are read off by walking both ends.
 
-Both tokenizers are asked for pieces of a text: neither has a token that goes on after a
-character into a following space, so tokens of both end where a space begins, and the groups of
-a text are those of its pieces. That is read from B's vocabulary; for a model with such a token
-texts are taken whole.
+Both tokenizers are asked for pieces of a text: tokens of both end before a space, around a line
+feed, and before a comma or full stop after a letter or digit, so the groups of a text are those
+of its pieces. That none of B's tokens crosses such a place is read from its vocabulary; for a
+model with tokens across spaces or line feeds texts are taken whole.
 
 How often an id pair is linked is counted over all texts. The most frequent pairs (at most
 ``FREQUENT``) are given to every task; the links of the others meet their counts in a join,
@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from packetlens.llm.common import fresh, slices
+from packetlens.llm.pieces import UNSAFE, Memory
 
-# A space after something that is neither white space nor B's sign for a space.
+# A space after something that is neither white space nor B's sign for a space; the only cuts
+# in texts with longer white space or punctuation that may belong to what precedes it.
 CUT = re.compile(r"(?<=[^\s▁])(?= )")
 SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 # An id pair is one number: A's id times this, and B's id.
 SHIFT = 1 << 24
-# Bytes of pieces (and as many of their results) that a Python process remembers.
-REMEMBERED = 24 << 20
+# Pieces that a Python process remembers, and encodes together.
+REMEMBERED = 800_000
+TOGETHER = 1000
 # Pairs given to every task at most, as two numbers of 8 bytes and a flag.
 FREQUENT = 1 << 20
 RESULT = ("row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
@@ -60,24 +64,12 @@ def byte_level_table() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def groups_of(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Slices (a from, a to, b from, b to) of the token lists between common ends."""
-    index_a = {end: i + 1 for i, end in enumerate(ends_a)}
-    index_b = {end: i + 1 for i, end in enumerate(ends_b)}
-    out, a, b = [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        i, j = index_a[end], index_b[end]
-        out.append((a, i, b, j))
-        a, b = i, j
-    return out
-
-
-def links_of(ends_a: list[int], ends_b: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """The pairs of tokens of a group whose bytes overlap."""
-    i, a, j, b = group
-    out = []
-    while i < a and j < b:
-        out.append((i, j))
+def overlapping(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[bytes]) -> list[int]:
+    """The id pairs of a group's tokens whose bytes overlap; no end is shared but the last."""
+    ends_a, ends_b = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        out.append(a[i] * SHIFT + b[j])
         x, y = ends_a[i], ends_b[j]
         i, j = i + (x <= y), j + (y <= x)
     return out
@@ -101,30 +93,35 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if self.b.is_byte(i) and (m := BYTE.fullmatch(p))
                         else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
-        self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in names)
-        self.known: dict[str, tuple | None] = {}
-        self.held = 0
+        self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in names)
+        self.joined = {x for p in names for x in re.findall(r"[^\W_][.,]", p)}
+        # What B gives for a line feed, with the space it adds.
+        self.feed = self.b.encode("\n")
+        self.known = Memory(self.found, REMEMBERED)
 
     def pieces(self, text: str) -> list[str]:
-        """Parts of a space and ``text``, each beginning with a space."""
-        return CUT.split(" " + text) if self.cuts else [" " + text]
-
-    def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.known)
-        size = sum(map(len, new))
-        if self.held + size > REMEMBERED:
-            # Frequent pieces come back with the next slice.
-            self.known.clear()
-            new, self.held = pieces, 0
-            size = sum(map(len, new))
-        self.held += size
-        new = list(new)
-        for start in range(0, len(new), 1000):
-            part = new[start:start + 1000]
+        """Parts of a space and ``text``."""
+        raw = " " + text
+        if not self.cuts:
+            return [raw]
+        if UNSAFE.search(raw) or SPACE in raw or any(x in raw for x in self.joined):
+            return CUT.split(raw)
+        marked = raw.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.")
+        return [p for p in marked.split("\0") if p]
+
+    def ids_b(self, pieces: list[str]) -> list[list[int]]:
+        """B's ids of pieces. It adds a space to each: one that has its own gives it up, and
+        another is asked for after a line feed, whose ids are cut off."""
+        n = len(self.feed)
+        found = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in pieces], num_threads=1)
+        return [x if p[0] == " " else x[n:] if x[:n] == self.feed else [] for p, x in zip(pieces, found, strict=True)]
+
+    def found(self, pieces: list[str]) -> Iterator[tuple | None]:
+        for start in range(0, len(pieces), TOGETHER):
+            part = pieces[start:start + TOGETHER]
             ids_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            ids_b = self.b.encode([p[1:] for p in part], num_threads=1)
-            for p, x, y in zip(part, ids_a, ids_b, strict=True):
-                self.known[p] = self.one(p.encode(), x, y)
+            for p, x, y in zip(part, ids_a, self.ids_b(part), strict=True):
+                yield self.one(p.encode(), x, y)
 
     def one(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
         """Numbers of tokens and groups, the groups as text, and the links as id pairs; None if
@@ -132,13 +129,22 @@ class Aligner:
         tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         if b"".join(tokens_a) != raw or b"".join(tokens_b) != raw:
             return None
-        if len(a) == 1 and len(b) == 1:
-            return 1, 1, 1, f"{a[0]}|{b[0]}", (a[0] * SHIFT + b[0],)
-        ends_a, ends_b = (np.cumsum([len(t) for t in tokens]).tolist() for tokens in (tokens_a, tokens_b))
-        groups = groups_of(ends_a, ends_b)
-        links = [a[i] * SHIFT + b[j] for g in groups for i, j in links_of(ends_a, ends_b, g)]
-        text = ";".join(f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}" for i, k, j, m in groups)
-        return len(a), len(b), len(groups), text, tuple(links)
+        # Number of tokens up to each end.
+        index_a = dict(zip(accumulate(map(len, tokens_a)), count(1)))
+        index_b = dict(zip(accumulate(map(len, tokens_b)), count(1)))
+        groups, links, i, j = [], [], 0, 0
+        for end in sorted(index_a.keys() & index_b.keys()):
+            k, m = index_a[end], index_b[end]
+            own_a, own_b = a[i:k], b[j:m]
+            if k - i == 1:
+                links += [own_a[0] * SHIFT + y for y in own_b]
+            elif m - j == 1:
+                links += [x * SHIFT + own_b[0] for x in own_a]
+            else:
+                links += overlapping(own_a, own_b, tokens_a[i:k], tokens_b[j:m])
+            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
+            i, j = k, m
+        return len(a), len(b), len(groups), ";".join(groups), links
 
     def whole(self, text: str) -> tuple:
         raw = " " + text
@@ -147,7 +153,7 @@ class Aligner:
 
     def texts(self, texts: list[str | None]) -> list[tuple]:
         cut = [self.pieces(t) if t else [] for t in texts]
-        self.learn({p for pieces in cut for p in pieces})
+        self.known.learn(chain.from_iterable(cut))
         out = []
         for text, pieces in zip(texts, cut, strict=True):
             rows = [self.known[p] for p in pieces]
@@ -158,7 +164,7 @@ class Aligner:
                 out.append(self.whole(text))
             else:
                 n_a, n_b, n_groups, groups, links = zip(*rows, strict=True)
-                out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), [x for y in links for x in y]))
+                out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), list(chain.from_iterable(links))))
         return out
 
 

@@ -5,7 +5,8 @@ Others are merged pair by pair: bytes are linked both ways, and a heap gives the
 least rank, leftmost first, in O(n log n) for n bytes. Ids and ranks are one number.
 
 * A null text counts as empty: no ids, and the digests of nothing. Repeated rows are encoded
-  alike; extra columns are passed through.
+  alike; extra columns are passed through, and a column added beside one of its name gets a longer
+  name. An empty table gives an empty result.
 * Strings that look like special tokens are ordinary text.
 """
 
@@ -27,8 +28,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from packetlens.llm.common import fresh, map_texts
 from packetlens.llm.pieces import cut, memory
 
-# Pieces remembered by one Python process; a tuple of ids is larger than bytes are.
-REMEMBERED = 500_000
+# Pieces remembered by one Python process.
+REMEMBERED = 1_000_000
 # Keys per bucket of the perfect hash.
 BUCKET = 2
 # Displacements tried at a time.
@@ -176,7 +177,7 @@ def _texts(df: DataFrame, codec: Codec, one: Callable, schema: str, keep: list[s
 
         def work(texts):
             pieces = [cut(t or "") for t in texts]
-            known.learn(p for text in pieces for p in text)
+            known.learn(chain.from_iterable(pieces))
             rows = [one(own, list(chain.from_iterable(map(known.__getitem__, text)))) for text in pieces]
             names = [f.split()[0] for f in schema.split(", ")]
             return dict(zip(names, zip(*rows, strict=True), strict=True))
@@ -210,14 +211,31 @@ def decode(rows: DataFrame, codec: Codec, ids: str) -> tuple[DataFrame, str]:
 
 
 def round_trip(docs: DataFrame, codec: Codec, keep: list[str]) -> DataFrame:
-    """Encode ``text``, decode the ids, and give the digests of both."""
+    """Encode ``text``, decode the ids, and give the digests of both. A piece's ids are decoded
+    and written as decimals once while it is remembered; a text is the run of its pieces."""
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
 
-    decimal = {i: str(i) for i in codec.token_of}
-    shared = docs.sparkSession.sparkContext.broadcast(decimal)
+    def make():
+        own = shared.value
+        encode = own.encoder()
+
+        def both_ways(pieces: list[str]) -> list[tuple[int, str, bytes]]:
+            return [(len(ids), ",".join(map(str, ids)), own.decode(ids)) for ids in encode(pieces)]
+
+        known = memory(f"bpe both ways {own.name}", lambda: both_ways, REMEMBERED)
 
-    def one(own: Codec, ids: list[int]):
-        text = ",".join(map(shared.value.__getitem__, ids))
-        return (len(ids), hashlib.sha256(text.encode()).hexdigest(),
-                hashlib.sha256(own.decode(ids)).hexdigest())
+        def work(texts):
+            pieces = [cut(t or "") for t in texts]
+            known.learn(chain.from_iterable(pieces))
+            sizes, ids_sha, decoded_sha = [], [], []
+            for text in pieces:
+                rows = [row for row in map(known.__getitem__, text) if row[0]]
+                n, decimals, decoded = zip(*rows, strict=True) if rows else ((), (), ())
+                sizes.append(sum(n))
+                ids_sha.append(hashlib.sha256(",".join(decimals).encode()).hexdigest())
+                decoded_sha.append(hashlib.sha256(b"".join(decoded)).hexdigest())
+            return {"n_tokens": sizes, "ids_sha256": ids_sha, "decoded_sha256": decoded_sha}
+
+        return work
 
-    return _texts(docs, codec, one, SCHEMA, keep)
+    return map_texts(docs, "text", make, SCHEMA, keep)

@@ -33,24 +33,30 @@ def cut(text: str) -> list[str]:
 
 
 class Memory(dict):
-    """Piece to result; filled from ``work`` for many pieces at once. Both the number of pieces
-    and their characters are bounded, but for the pieces of one call."""
+    """Piece to result; filled from ``work`` for many pieces at once.
+
+    Pieces are held in two halves. When the younger one is full it becomes the older one, and a
+    piece that is met again moves from there to the younger, so frequent pieces stay. The number
+    of pieces and their characters are bounded, but for the pieces of one call."""
 
     def __init__(self, work: Callable[[list[str]], Iterable], most: int = REMEMBERED):
         super().__init__()
         self.work, self.most, self.chars = work, most, 0
+        self.older: dict = {}
 
     def learn(self, pieces: Iterable[str]) -> None:
         wanted = set(pieces)
         new = wanted.difference(self)
         chars = sum(map(len, new))
-        if len(self) + len(new) > self.most or self.chars + chars > REMEMBERED_CHARS:
-            # Frequent pieces come back with the next batch.
+        if 2 * (len(self) + len(new)) > self.most or 2 * (self.chars + chars) > REMEMBERED_CHARS:
+            self.older = dict(self)
+            self.clear()
             new, self.chars = wanted, 0
             chars = sum(map(len, new))
-            self.clear()
         self.chars += chars
-        new = list(new)
+        again = new & self.older.keys()
+        self.update((p, self.older[p]) for p in again)
+        new = list(new - again)
         if new:
             self.update(zip(new, self.work(new), strict=True))
 

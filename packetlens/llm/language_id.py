@@ -8,7 +8,8 @@ each language, the cross-entropy beyond which a prediction counts as rejected.
 * A text that is null or has no letter is ``und`` with score 0 and not rejected.
 * Rows without label or eligibility are not learned from; with none at all every text is ``und``.
 * Equal cross-entropies go to the language first in sorted order.
-* Repeated rows are predicted alike; extra columns are passed through.
+* Repeated rows are predicted alike; extra columns are passed through, and a column added beside
+  one of its name gets a longer name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -136,7 +137,7 @@ def calibrate(found: Identifier, judged: DataFrame) -> None:
     for k, lang in enumerate(found.langs):
         own = nats[right & (pred == lang)]
         if len(own):
-            found.worst[k] = np.quantile(own, 1 - REJECTED) + 3 * np.std(own)
+            found.worst[k] = np.quantile(own, 1 - REJECTED)
 
 
 def predict(docs: DataFrame, found: Identifier, keep: list[str] | None = None) -> DataFrame:

@@ -1,11 +1,15 @@
 """Personal data by regular expressions, and more of it by bootstrapped contexts.
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards and telephone numbers, found
-leftmost and without overlap per kind and then validated. They seed a graph of lexical
-patterns (the words around a mention) and instances (what stands there). Spark scores it in
-rounds: a pattern is as good as the share of its instances that are known, weighted by their
-scores, and an instance is known as far as one of its patterns is good. Patterns that are
-good and rest on several seeds discover further identifiers of the kind ``id``.
+leftmost and without overlap per kind and then validated. They, and strings of hexadecimal
+digits as long as keys are, seed a graph of lexical patterns (the words around a mention) and
+instances (what stands there). Spark scores it in rounds: a pattern is as good as the mean score
+of its instances, an instance is known as far as the best of its patterns is good, and what is
+known so far supports patterns like the seeds do. Rounds go on until no pattern is new. The
+instances of good patterns are identifiers of the kind ``id``.
+
+A pattern holds a word: the key of a ``key = value`` or ``key: value``, the two words before a
+mention, or one on each side. Words are taken from the ``CONTEXT`` characters beside a mention.
 
 Everything is built from Spark's own functions.
 
@@ -42,12 +46,15 @@ LIKE_ID = (
 )
 # What may stand in a pattern's place: at one character the first of these that matches.
 MENTION = "|".join([KINDS["email"], KINDS["phone"], LIKE_ID, KINDS["card"]])
+# Fixed value: keys and digests of 128, 160 and 256 bits, of letters and digits both.
+SECRET = r"^(?=[0-9]*[a-f])(?=[a-f]*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
 # Characters of context on either side.
 CONTEXT = 60
-ROUNDS = 3
-# A pattern needs so many different seeds and such a score.
-MIN_SEEDS = 3
-GOOD = 0.8
+# Rounds at most; each adds a pattern, or is the last.
+ROUNDS = 20
+# A pattern needs known instances with scores of so much together, and such a mean.
+SUPPORT = 2.1
+GOOD = 0.7
 # Lengths summed at a time when places are computed.
 BLOCK = 256
 SPAN = "array<struct<kind:string,start:int,end:int>>"
@@ -126,44 +133,51 @@ def seeded(value: Column) -> Column:
 
 
 def patterns(before: Column, after: Column) -> Column:
-    """The lexical patterns of a mention: two words before it, and one word on each side.
-    Digits are alike, and so are cases."""
+    """The lexical patterns of a mention: a key before it, two words before it, and one word on
+    each side; each has a letter. Digits are alike, and so are cases."""
     before, after = (F.regexp_replace(F.lower(x), "[0-9]", "0") for x in (before, after))
     two = F.regexp_extract(before, r"(\S+\s+\S+\s*)$", 1)
     left, right = F.regexp_extract(before, r"(\S+\s*)$", 1), F.regexp_extract(after, r"^(\s*\S+)", 1)
+    key = F.regexp_extract(before, r"([\p{L}_][\p{L}0_-]*)\s*[:=]\s*[\"'`]?$", 1)
     made = F.array(
+        F.when(key != "", F.concat(F.lit("key "), key)),
         F.when(two != "", F.concat(F.lit("before "), two)),
         F.when((left != "") & (right != ""), F.concat(F.lit("around "), left, F.lit("_"), right)))
-    return F.filter(made, lambda p: p.isNotNull())
+    # The name of the form itself has letters; what follows it must have one too.
+    return F.filter(made, lambda p: p.isNotNull() & p.rlike(r"(?s)^\w+ .*\p{L}"))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """(digest, start, end, instance, seed, patterns) of the different texts with digits or @."""
+    """(digest, start, end, instance, base, seed, patterns) of the different texts with digits or
+    @; ``base`` tells a base span, ``seed`` what the rounds start from."""
     texts = docs.where(F.col("text").rlike("[0-9@]")).select(
         F.md5("text").alias("digest"), located(F.col("text"), MENTION).alias("m"))
     # Equal texts have equal mentions: only one copy's are kept.
     return texts.where(F.size("m") > 0).dropDuplicates(["digest"]).select(
         "digest", F.explode("m").alias("m")).select(
-        "digest", "m.start", "m.end", F.xxhash64(F.lower("m.value")).alias("instance"),
-        seeded(F.col("m.value")).alias("seed"), patterns(F.col("m.before"), F.col("m.after")).alias("patterns"))
+        "digest", "m.start", "m.end", "m.before", "m.after", F.lower("m.value").alias("value"),
+        seeded(F.col("m.value")).alias("base")).select(
+        "digest", "start", "end", F.xxhash64("value").alias("instance"), "base",
+        (F.col("base") | F.col("value").rlike(SECRET)).alias("seed"), patterns(F.col("before"), F.col("after")).alias("patterns"))
 
 
 def good_patterns(found: DataFrame) -> DataFrame:
-    """(pattern, score) of high-confidence patterns, after rounds over the graph."""
+    """(pattern, score) of high-confidence patterns: rounds over the graph to a fixed point."""
     edges = stored(found.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy(
         "pattern", "instance").agg(F.max("seed").alias("seed")), "pattern-edges")
     known = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for step in range(ROUNDS):
-        scored = edges.join(known, "instance")
-        share = F.sum("score") / F.count("*")
-        good = stored(scored.groupBy("pattern").agg(
-            share.alias("score"), F.sum(F.col("seed").cast("int")).alias("n_seeds")
-        ).where((F.col("n_seeds") >= MIN_SEEDS) & (F.col("score") >= GOOD)).select("pattern", "score"),
-            "patterns")
-        if step < ROUNDS - 1:
-            by_pattern = edges.join(good, "pattern", "left").groupBy("instance").agg(
-                F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).alias("score"))
-            known = stored(by_pattern, "instances")
+    size, before = None, None
+    for _ in range(ROUNDS):
+        good = stored(edges.join(known, "instance").groupBy("pattern").agg(
+            F.avg("score").alias("score"), F.sum("score").alias("support")
+        ).where((F.col("support") >= SUPPORT) & (F.col("score") >= GOOD)).select("pattern", "score"), "patterns")
+        size = good.agg(F.count("*"), F.sum(F.xxhash64("pattern") % F.lit(1 << 32))).first()
+        if size == before:
+            break
+        before = size
+        by_pattern = edges.join(good, "pattern", "left").groupBy("instance").agg(
+            F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).alias("score"))
+        known = stored(by_pattern, "instances")
     return good
 
 
@@ -171,7 +185,7 @@ def discovered(docs: DataFrame) -> DataFrame:
     """(digest, found): further spans of each text, which may touch base spans."""
     found = stored(mentions(docs), "mentions")
     good = good_patterns(found)
-    new = found.where(~F.col("seed")).select("digest", "start", "end", F.explode("patterns").alias("pattern"))
+    new = found.where(~F.col("base")).select("digest", "start", "end", F.explode("patterns").alias("pattern"))
     return new.join(good, "pattern").select("digest", "start", "end").distinct().groupBy("digest").agg(
         F.array_sort(F.collect_list(F.struct(F.lit(FOUND).alias("kind"), "start", "end"))).alias("found"))
 

@@ -10,6 +10,7 @@ example, every other an allow example. Rules go before the model.
 * A null url or one without ``://`` has an empty host and path, no words, and is allowed unless
   a rule fits; an empty page table gives an empty result.
 * Of rules that fit, the longest (host and path) wins, then the first in order.
+* A run of more than ``LONGEST_WORD`` letters is no host label: it stays one word.
 * Repeated rows are judged alike. Extra columns do not matter.
 """
 
@@ -28,8 +29,8 @@ from packetlens.llm.common import stored
 SEEDS = ("ads", "adult", "bet", "bets", "casino", "pills", "poker", "porn", "spam", "track", "xxx")
 # Count given to a seed beyond those found, so that hosts are split at them.
 SEED_COUNT = 100
-# Letters of the longest word that is looked for in a host.
-LONGEST_WORD = 20
+# Fixed value: letters of the longest host label, and so of the longest word in one.
+LONGEST_WORD = 63
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -44,7 +45,8 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """The fitting rule (``host/path``) and its verdict, or nulls."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for action, rule in sorted(rules, key=lambda r: len(r[1])):
+    # What comes later goes before: longer rules, and of equally long ones the first.
+    for action, rule in sorted(reversed(rules), key=lambda r: len(r[1])):
         own_host, slash, own_path = rule.partition("/")
         fits = ((host == own_host) | host.endswith(f".{own_host}")) & path.startswith(slash + own_path)
         name = F.when(fits, F.lit(rule)).otherwise(name)
@@ -91,7 +93,8 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
     joined to it, so no table of words is held whole anywhere."""
     total = counts.agg(F.sum("n")).first()[0] or 1
     at = F.explode(F.sequence(F.lit(1), F.length("run")))
-    starts = runs.where(F.length("run") > 0).select("run", at.alias("i"))
+    # A longer run is no host label, and is left whole below.
+    starts = runs.where(F.length("run").between(1, LONGEST_WORD)).select("run", at.alias("i"))
     size = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("run") - F.col("i") + 1)))
     parts = starts.select("run", "i", size.alias("k")).select(
         "run", F.substring("run", F.col("i"), F.col("k")).alias("word")).distinct()
@@ -102,6 +105,9 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
+                if len(row["run"]) > LONGEST_WORD:
+                    out.append([row["run"]])
+                    continue
                 log_p = {x["word"]: math.log(x["n"] / total) for x in row["known"] or ()}
                 out.append(best_split(row["run"], log_p, -math.log(10 * total) / 2))
             yield pa.RecordBatch.from_arrays(

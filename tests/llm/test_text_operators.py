@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -12,6 +13,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -126,6 +128,32 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_url_rule_ties_and_long_hosts(spark):
+    url = "url string, page_id int, html string"
+    long = "a" * 3000
+    pages = spark.createDataFrame([("http://x.com/x/1", 1, ""), (f"http://{long}.org/", 2, f"{long} {'b' * 40}"),
+                                   (f"http://{'b' * 40}cc.org/", 3, "cc cc")], url)
+    ties = [("allow", "x.com/"), ("block", "com/x/")]
+    for rules in (ties, ties[::-1]):
+        got = {r.page_id: r for r in url_filter.judge(pages, rules).collect()}
+        assert (got[1].rule, got[1].verdict) == (rules[0][1], rules[0][0])
+    assert got[2].host_words == f"{long} org" and got[3].host_words == f"{'b' * 40} cc org"
+
+
+def test_url_segmentation_equals_all_splits():
+    """Viterbi against every way to split a run."""
+    r = random.Random(5)
+    for _ in range(60):
+        run = "".join(r.choices("abc", k=r.randint(1, 9)))
+        log_p = {"".join(r.choices("abc", k=r.randint(1, 4))): -r.random() * 9 for _ in range(12)}
+        unseen = -7.3
+        cost = lambda w: log_p.get(w, unseen * (len(w) + 1))
+        ways = [[run[i:j] for i, j in zip((0, *cuts), (*cuts, len(run)))]
+                for k in range(len(run)) for cuts in itertools.combinations(range(1, len(run)), k)]
+        best = max(sum(map(cost, w)) for w in ways)
+        assert abs(sum(map(cost, url_filter.best_split(run, log_p, unseen))) - best) < 1e-9
+
+
 # --- 3 quality rules --------------------------------------------------------------------
 
 
@@ -324,6 +352,77 @@ def test_pii_bootstraps_and_redacts(frame):
     assert got[51].text == "reach me under [ID] today" and got[52].text == rows[14][1] and got[53].text is None
 
 
+def plain_discovered(rows):
+    """Contexts and rounds in plain Python: the spans of kind id of each text."""
+    mention = regex.compile(pii.MENTION)
+    whole = [(k, re.compile(p), ok) for k, p, ok in KINDS]
+    found = []
+    for i, text in rows:
+        ends = [m.span() for m in mention.finditer(text or "")] if re.search("[0-9@]", text or "") else []
+        for n, (a, b) in enumerate(ends):
+            before = text[ends[n - 1][1] if n else 0:a][-60:]
+            after = text[b:ends[n + 1][0] if n + 1 < len(ends) else len(text)][:60]
+            before, after = (re.sub("[0-9]", "0", x.lower()) for x in (before, after))
+            value = text[a:b]
+            base = any((m := p.fullmatch(value)) and ok(m[0]) for _, p, ok in whole)
+            secret = re.fullmatch("[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}", value.lower())
+            secret = secret and re.search("[0-9]", value) and re.search("[a-fA-F]", value)
+            made = []
+            if m := re.search(r"([^\W\d][\w-]*)\s*[:=]\s*[\"'`]?$", before):
+                made.append(("key", m[1]))
+            if m := re.search(r"(\S+\s+\S+\s*)$", before):
+                made.append(("before", m[1]))
+            if (m := re.search(r"(\S+\s*)$", before)) and (k := re.match(r"\s*\S+", after)):
+                made.append(("around", m[1] + "_" + k[0]))
+            made = [x for x in made if any(c.isalpha() for c in x[1])]
+            found.append((i, a, b, value.lower(), base, bool(base or secret), made))
+    edges = {(p, v) for _, _, _, v, _, _, made in found for p in made}
+    seeds = {v for _, _, _, v, _, seed, made in found if seed}
+    score, good = {v: 1.0 * (v in seeds) for _, v in edges}, None
+    while True:
+        by = collections.defaultdict(list)
+        for p, v in edges:
+            by[p].append(score[v])
+        now = {p: sum(x) / len(x) for p, x in by.items() if sum(x) >= pii.SUPPORT and sum(x) / len(x) >= pii.GOOD}
+        if good is not None and now.keys() == good.keys():
+            break
+        good = now
+        for v in score:
+            score[v] = 1.0 if v in seeds else max([good[p] for p, w in edges if w == v and p in good], default=0.0)
+    out = collections.defaultdict(set)
+    for i, a, b, _, base, _, made in found:
+        if not base and any(p in good for p in made):
+            out[i].add((a, b))
+    return out
+
+
+def bootstrap_rows():
+    r = random.Random(12)
+    mail = lambda i: f"user{i}@mail.example.org"
+    rows = [(200 + i, f"{rnd(i, 5)} reach me under {mail(i)} or so") for i in range(30)]
+    # Round one: what stands where addresses do. Round two: where those stand. Round three: a key.
+    ids = [f"AB{1000000 + i}" for i in range(8)]
+    rows += [(20 + k, f"{rnd(90 + k, 4)} reach me under {v} today") for k, v in enumerate(ids[:5])]
+    rows += [(30 + k, f"my badge number {v} was lost, {rnd(k, 3)}") for k, v in enumerate(ids[:6])]
+    rows += [(40 + k, f"badge_no: {v}; {rnd(k, 3)}") for k, v in enumerate(ids[:7])]
+    rows += [(50 + k, f'{rnd(k, 2)} token = "{r.getrandbits(160):040x}" {rnd(k, 3)}') for k in range(6)]
+    rows += [(60, 'x token = "zz-not-hex-9" y'), (61, f"the part {ids[7]} is in stock"), (62, "| 9093441080585879 | 12 |"),
+             (63, "| 9093441080585878 | 12 |"), (64, None), (65, ""), (20, rows[30][1])]
+    rows += [(70 + k, f"{rnd(k, 3)} part no {200000 + k}x in {rnd(k + 50, 2)}") for k in range(8)]
+    return rows
+
+
+def test_pii_rounds_equal_plain_rounds(frame):
+    rows = bootstrap_rows()
+    df, base, every = pii.spans(frame(rows), ["doc_id", "text"])
+    want, got = plain_discovered(rows), collections.defaultdict(set)
+    for row in df.select("doc_id", F.inline(every)).where("kind = 'id'").collect():
+        got[row.doc_id].add((row.start, row.end))
+    assert got == {i: s for i, s in want.items() if s}
+    # Every planted identifier and nothing else, through all three rounds.
+    assert set(got) == {*range(20, 25), *range(30, 36), *range(40, 47), *range(50, 56), 60}
+
+
 # --- 8 n-gram Jaccard join -----------------------------------------------------------------------
 
 

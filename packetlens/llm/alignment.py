@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate, chain, count
 
@@ -37,15 +38,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from packetlens.llm.common import fresh, slices
-from packetlens.llm.pieces import UNSAFE, Memory
+from packetlens.llm.pieces import unsafe
 
 # A space after something that is neither white space nor B's sign for a space; the only cuts
 # in texts with longer white space or punctuation that may belong to what precedes it.
 CUT = re.compile(r"(?<=[^\s▁])(?= )")
 SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
-# An id pair is one number: A's id times this, and B's id.
-SHIFT = 1 << 24
+# An id pair is one number: A's id times this, and B's id; both are smaller.
+SHIFT = 1 << 20
 # Pieces that a Python process remembers, and encodes together.
 REMEMBERED = 800_000
 TOGETHER = 1000
@@ -53,7 +54,6 @@ TOGETHER = 1000
 FREQUENT = 1 << 20
 RESULT = ("row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
           "pairs array<bigint>, times array<int>")
-EMPTY = (0, 0, 0, "", ())
 
 
 def byte_level_table() -> dict[str, int]:
@@ -75,6 +75,37 @@ def overlapping(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: lis
     return out
 
 
+class Store:
+    """What is known of pieces, by number: tokens and groups, the groups as text, and links."""
+
+    def __init__(self):
+        self.index: dict = {}
+        self.numbers, self.starts, self.links = array("q"), array("q", [0]), array("q")
+        self.groups: list[str] = []
+        # Pieces whose tokens are not their text.
+        self.odd: set[int] = set()
+
+    def add(self, piece, found: tuple | None) -> int:
+        at = self.index[piece] = len(self.groups)
+        if found is None:
+            self.odd.add(at)
+            found = 0, 0, 0, "", ()
+        self.numbers.extend(found[:3])
+        self.groups.append(found[3])
+        self.links.extend(found[4])
+        self.starts.append(len(self.links))
+        return at
+
+    def row(self, piece) -> tuple | None:
+        at = self.index[piece]
+        if at in self.odd:
+            return None
+        return *self.numbers[3 * at:3 * at + 3], self.groups[at], self.links[self.starts[at]:self.starts[at + 1]]
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.asarray(self.numbers).reshape(-1, 3), np.asarray(self.starts), np.asarray(self.links)
+
+
 class Aligner:
     """Aligns pieces of texts; remembers those seen."""
 
@@ -97,14 +128,17 @@ class Aligner:
         self.joined = {x for p in names for x in re.findall(r"[^\W_][.,]", p)}
         # What B gives for a line feed, with the space it adds.
         self.feed = self.b.encode("\n")
-        self.known = Memory(self.found, REMEMBERED)
+        if max(len(self.bytes_a), len(names)) > SHIFT:
+            raise ValueError(f"a vocabulary has more than {SHIFT} tokens")
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(names)))]
+        self.known, self.older = Store(), Store()
 
     def pieces(self, text: str) -> list[str]:
         """Parts of a space and ``text``."""
         raw = " " + text
         if not self.cuts:
             return [raw]
-        if UNSAFE.search(raw) or SPACE in raw or any(x in raw for x in self.joined):
+        if unsafe(raw) or SPACE in raw or any(x in raw for x in self.joined):
             return CUT.split(raw)
         marked = raw.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.")
         return [p for p in marked.split("\0") if p]
@@ -116,56 +150,87 @@ class Aligner:
         found = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in pieces], num_threads=1)
         return [x if p[0] == " " else x[n:] if x[:n] == self.feed else [] for p, x in zip(pieces, found, strict=True)]
 
-    def found(self, pieces: list[str]) -> Iterator[tuple | None]:
-        for start in range(0, len(pieces), TOGETHER):
-            part = pieces[start:start + TOGETHER]
+    def learn(self, pieces: set[str]) -> None:
+        """Have all pieces in ``known``. When that is half of what may be remembered it becomes
+        the older half, from which pieces that are met again come back."""
+        new = pieces.difference(self.known.index)
+        if 2 * (len(self.known.index) + len(new)) > REMEMBERED and self.known.index:
+            self.older, self.known, new = self.known, Store(), pieces
+        again = new & self.older.index.keys()
+        for p in again:
+            self.known.add(p, self.older.row(p))
+        new = list(new - again)
+        for start in range(0, len(new), TOGETHER):
+            part = new[start:start + TOGETHER]
             ids_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
             for p, x, y in zip(part, ids_a, self.ids_b(part), strict=True):
-                yield self.one(p.encode(), x, y)
+                self.known.add(p, self.one(p.encode(), x, y))
 
     def one(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
         """Numbers of tokens and groups, the groups as text, and the links as id pairs; None if
         the tokens are not the text."""
-        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        bytes_a, bytes_b, names = self.bytes_a, self.bytes_b, self.names
+        tokens_a, tokens_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
         if b"".join(tokens_a) != raw or b"".join(tokens_b) != raw:
             return None
+        names_a, names_b = [names[i] for i in a], [names[i] for i in b]
+        n, m = len(a), len(b)
+        if n == 1 or m == 1:
+            # All ends but the last belong to one side.
+            return n, m, 1, f"{','.join(names_a)}|{','.join(names_b)}", [x * SHIFT + y for x in a for y in b]
         # Number of tokens up to each end.
         index_a = dict(zip(accumulate(map(len, tokens_a)), count(1)))
         index_b = dict(zip(accumulate(map(len, tokens_b)), count(1)))
         groups, links, i, j = [], [], 0, 0
         for end in sorted(index_a.keys() & index_b.keys()):
             k, m = index_a[end], index_b[end]
-            own_a, own_b = a[i:k], b[j:m]
-            if k - i == 1:
-                links += [own_a[0] * SHIFT + y for y in own_b]
-            elif m - j == 1:
-                links += [x * SHIFT + own_b[0] for x in own_a]
+            if k - i == 1 and m - j == 1:
+                links.append(a[i] * SHIFT + b[j])
+                groups.append(f"{names_a[i]}|{names_b[j]}")
             else:
-                links += overlapping(own_a, own_b, tokens_a[i:k], tokens_b[j:m])
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
+                if k - i == 1 or m - j == 1:
+                    links += [x * SHIFT + y for x in a[i:k] for y in b[j:m]]
+                else:
+                    links += overlapping(a[i:k], b[j:m], tokens_a[i:k], tokens_b[j:m])
+                groups.append(f"{','.join(names_a[i:k])}|{','.join(names_b[j:m])}")
             i, j = k, m
-        return len(a), len(b), len(groups), ";".join(groups), links
+        return n, len(b), len(groups), ";".join(groups), links
 
-    def whole(self, text: str) -> tuple:
+    def whole(self, text: str) -> tuple | None:
         raw = " " + text
         a = self.a.encode_batch_fast([raw], add_special_tokens=False)[0].ids
-        return self.one(raw.encode(), a, self.b.encode([text], num_threads=1)[0]) or EMPTY
+        return self.one(raw.encode(), a, self.b.encode([text], num_threads=1)[0])
 
-    def texts(self, texts: list[str | None]) -> list[tuple]:
+    def texts(self, texts: list[str | None]) -> dict:
+        """For each text its numbers, groups, and distinct linked pairs; ``sizes`` has how many
+        of these it has."""
         cut = [self.pieces(t) if t else [] for t in texts]
-        self.known.learn(chain.from_iterable(cut))
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            rows = [self.known[p] for p in pieces]
-            if not rows:
-                out.append(EMPTY)
-            elif None in rows:
+        self.learn(set(chain.from_iterable(cut)))
+        known = self.known
+        at = [list(map(known.index.__getitem__, pieces)) for pieces in cut]
+        for i, own in enumerate(at):
+            if not known.odd.isdisjoint(own):
                 # A sign that stands for a space: only the whole text tells.
-                out.append(self.whole(text))
-            else:
-                n_a, n_b, n_groups, groups, links = zip(*rows, strict=True)
-                out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), list(chain.from_iterable(links))))
-        return out
+                found = self.whole(texts[i])
+                at[i] = [known.add((texts[i],), found)] if found else []
+        n = np.array([len(own) for own in at], "i8")
+        flat = np.fromiter(chain.from_iterable(at), "i8", int(n.sum()))
+        numbers, starts, links = known.arrays()
+        ends = np.concatenate([[0], np.cumsum(n)])
+        totals = np.concatenate([np.zeros((1, 3), "i8"), np.cumsum(numbers[flat], 0)])
+        sums = np.diff(totals[ends], axis=0)
+        # The links of all pieces in a row, under the number of their text.
+        size = starts[flat + 1] - starts[flat]
+        place = np.arange(int(size.sum())) + np.repeat(starts[flat] - np.cumsum(size) + size, size)
+        text = np.repeat(np.repeat(np.arange(len(at)), n), size)
+        both, times = np.unique(text * SHIFT * SHIFT + links[place], return_counts=True)
+        return {
+            "n_a": sums[:, 0], "n_b": sums[:, 1], "n_groups": sums[:, 2],
+            "n_links": np.bincount(text, minlength=len(at)),
+            "groups": [";".join(map(known.groups.__getitem__, own)) for own in at],
+            "sizes": np.bincount(both // (SHIFT * SHIFT), minlength=len(at)),
+            "pairs": both % (SHIFT * SHIFT), "times": times,
+        }
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -173,9 +238,9 @@ _aligners: dict[tuple[str, str], Aligner] = {}
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, str]:
     """All columns and a struct, whose name is returned as well: row (a number of its own, for
-    as long as the result is stored), n_a, n_b, n_groups, n_links, groups (ids of A, a bar and ids of B for each group), and the distinct linked id pairs of
-    the text (A's id * 2^24 + B's id) with the times each is linked. The files are read on each
-    executor."""
+    as long as the result is stored), n_a, n_b, n_groups, n_links, groups (ids of A, a bar and
+    ids of B for each group), and the distinct linked id pairs of the text (A's id * 2^20 + B's
+    id) with the times each is linked. The files are read on each executor."""
     name = fresh(docs.columns, "aligned")
     kind = StructType.fromDDL(RESULT)
     fields = list(to_arrow_schema(kind))
@@ -187,18 +252,14 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, str]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = own.texts(part["text"].to_pylist())
-                n_a, n_b, n_groups, groups, links = zip(*rows, strict=True)
-                counted = [np.unique(np.array(x, "i8"), return_counts=True) for x in links]
-                ends = pa.array(np.cumsum([0, *(len(x) for x, _ in counted)]), pa.int32())
-                pairs, times = (np.concatenate(x) for x in zip(*counted, strict=True))
+                got = own.texts(part["text"].to_pylist())
+                ends = pa.array(np.concatenate([[0], np.cumsum(got["sizes"])]), pa.int32())
                 columns = [
-                    pa.array(np.arange(row, row + len(rows))),
-                    *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups, list(map(len, links)))),
-                    pa.array(groups, pa.string()), pa.ListArray.from_arrays(ends, pa.array(pairs, pa.int64())),
-                    pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
+                    pa.array(np.arange(row, row + part.num_rows)),
+                    *(pa.array(got[c]) for c in ("n_a", "n_b", "n_groups", "n_links", "groups")),
+                    *(pa.ListArray.from_arrays(ends, pa.array(got[c])) for c in ("pairs", "times")),
                 ]
-                row += len(rows)
+                row += part.num_rows
                 columns = [c.cast(f.type) for c, f in zip(columns, fields, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.StructArray.from_arrays(columns, fields=fields)], [*passed, name])

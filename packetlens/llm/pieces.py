@@ -12,9 +12,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-# Two characters of white space in a row, a comma or full stop that may belong to what precedes
-# it, or a mark that the cutting uses.
-UNSAFE = re.compile(r"\s\s|[\W_][.,]|\0")
+# White space in a row, and a comma or full stop that may belong to what precedes it; the latter
+# is written so that the search runs from one of these signs to the next.
+IN_A_ROW = re.compile(r"\s\s")
+AFTER_SIGN = re.compile(r"[.,](?<![^\W_][.,])")
 # A space before something else starts a piece; longer white space stays with what precedes it.
 CUT = re.compile(r"(?= [^\s])")
 # The white space of Unicode.
@@ -24,9 +25,23 @@ REMEMBERED = 1_000_000
 REMEMBERED_CHARS = 32 << 20
 
 
+# White space of regular expressions other than space and line feed, in ASCII and beyond.
+RARE = [c for c in map(chr, range(128)) if c.isspace() and c not in " \n"]
+RARER = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
+
+
+def unsafe(text: str) -> bool:
+    """Whether ``text`` has white space in a row, a comma or full stop after something other
+    than a letter or digit, or the mark that the cutting uses."""
+    if "\0" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return True
+    rare = any(c in text for c in RARE) or not text.isascii() and any(c in text for c in RARER)
+    return bool(rare and IN_A_ROW.search(text) or AFTER_SIGN.search(text))
+
+
 def cut(text: str) -> list[str]:
     """The pieces of ``text``; joined they are the text. A space stays with the word after it."""
-    if UNSAFE.search(text):
+    if unsafe(text):
         return [p for p in CUT.split(text) if p]
     marked = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
     return marked.replace(",", "\0,").replace(".", "\0.").split("\0")

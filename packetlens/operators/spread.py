@@ -23,9 +23,12 @@ def with_group_size(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
     task never holds more of a key than one bucket of rows; the join that brings sums back to
     buckets is one that adaptive execution can split. Keys must not be null. Rows whose
     bucket is null form a bucket of their own.
+
+    Rows and counts grow with the data, and the size guessed from the files before they are
+    parsed can be far too small, so both joins are merges and neither side goes to the driver.
     """
     rows = rows.withColumn(bucket, F.coalesce(bucket, F.lit(NO_BUCKET)))
     counts = rows.groupBy(*keys, bucket).agg(F.count("*").alias("n_bucket"))
     sums = counts.groupBy(*keys).agg(F.sum("n_bucket").alias("n_group"))
-    totals = counts.drop("n_bucket").join(sums, keys)
-    return rows.join(totals, [*keys, bucket])
+    totals = counts.drop("n_bucket").join(sums.hint("merge"), keys)
+    return rows.join(totals.hint("merge"), [*keys, bucket])

@@ -216,6 +216,24 @@ def test_group_size(spark):
     assert got == {(i, sizes[0 if i % 3 == 0 else i % 50]) for i in range(1000)}
 
 
+def sent_whole(df, capsys):
+    """Whether a side of a join went to the driver and from there to every task, in the plan
+    before the run or in the one that adaptive execution ended with."""
+    capsys.readouterr()
+    df.explain()
+    df.collect()
+    df.explain()
+    plans = capsys.readouterr().out
+    assert plans.count("== Physical Plan ==") == 2 and "SortMergeJoin" in plans
+    return "Broadcast" in plans
+
+
+def test_conversation_messages_send_no_side_whole(spark, capsys):
+    """The inputs are small, so without the operator's word they would be."""
+    found = conversations.messages(packets(spark, traffic(200, 4)), "seq", "ts")
+    assert not sent_whole(conversations.conversation_messages(found), capsys)
+
+
 @pytest.mark.parametrize("span", [1, 7, 1000])
 def test_chunks_follow_sequence_order(spark, span):
     ids = sorted(random.Random(5).sample(range(-500, 5000), 700))

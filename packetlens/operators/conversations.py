@@ -93,7 +93,8 @@ def gap_messages(rows: DataFrame, gap_seconds: int) -> DataFrame:
     run = Window.partitionBy(*timed, "run")
     runs = runs.select(
         *KEY, "slice", F.min("first").over(run).alias("start"), F.sum("n").over(run).alias("n_messages"))
-    return cut.join(runs.where(F.col("n_messages") > 1), [*KEY, "slice"]).select(
+    # Both sides grow with the messages, and sizes guessed before parsing are far too small.
+    return cut.join(runs.where(F.col("n_messages") > 1).hint("merge"), [*KEY, "slice"]).select(
         *KEY, "start", "n_messages", "ts", "seq", "message")
 
 

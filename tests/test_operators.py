@@ -239,6 +239,11 @@ def test_conversation_parts_send_no_side_whole(spark, capsys):
     assert not sent_whole(conversations.conversations(found, 20), capsys)
 
 
+def test_gap_conversations_send_no_side_whole(spark, capsys):
+    found = conversations.messages(packets(spark, traffic(200, 4)), "seq", "ts")
+    assert not sent_whole(conversations.gap_conversations(found, 5), capsys)
+
+
 @pytest.mark.parametrize("span", [1, 7, 1000])
 def test_chunks_follow_sequence_order(spark, span):
     ids = sorted(random.Random(5).sample(range(-500, 5000), 700))

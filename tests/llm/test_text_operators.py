@@ -244,6 +244,37 @@ def test_token_files(spark, frame, tmp_path):
     assert order == sorted(order, key=lambda i: (i is not None, i))
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_token_files_encode_spaced_pieces_without_marks(name):
+    """Pieces with a space are encoded as they are joined, and each gets the ids it has alone,
+    also by a tokenizer in which no token begins with a space."""
+    tk = Tokenizer.from_file(P.path(name))
+    spaced = [" the", " a\tb", " <|endoftext|>", " x<|endoftext|>y", " \u0120", " \u0120a", " it's", " 's", " 12ab%%",
+              " \u00e9\u0301", " \u4e2d\u6587", " \U0001f600", " a\u00a0b", " \u180e", " \u180eb", " \x00", " ##x",
+              *(f" {w}{i}" for i, w in enumerate(rnd(3, 900).split()))]
+    other = ["the", "\n", " ", "", "a\nb", " a\n", "x ", "\t", " \t", "\u00a0", " \u00a0", ",", ".", " \u00a0b", " a b", "  c"]
+    want = {p: np.array(tk.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in [*spaced, *other]}
+
+    class Counting:
+        """The tokenizer, and the characters it is given together."""
+
+        given = 0
+
+        def __getattr__(self, attribute):
+            return getattr(tk, attribute)
+
+        def encode_batch_fast(self, texts, **options):
+            self.given += sum(map(len, texts))
+            return tk.encode_batch_fast(texts, **options)
+
+    both = [*other, *spaced, *other]
+    assert token_files.encoder(Counting())(both) == [want[p] for p in both]
+    counting = Counting()
+    assert token_files.encoder(counting)(spaced) == [want[p] for p in spaced]
+    if name == "byte_bpe_50k.json":
+        assert counting.given == sum(map(len, spaced))
+
+
 def test_token_files_damage_and_frames(tmp_path):
     path = f"{tmp_path}/a.zst"
     writer = token_files.Writer(path, frame_ids=4)
